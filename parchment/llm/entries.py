@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parchment.llm import language_id, toxicity
+from parchment.llm import language_id, pii, secrets, toxicity
 from parchment.llm.common import crc_mod, table
+from parchment.llm.spans import digest
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,9 +28,28 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
+def _counted(found: DataFrame, spans: str, base: tuple[str, ...]) -> DataFrame:
+    """The digest columns of the span operators."""
+    of = lambda k: F.size(F.filter(spans, lambda s: s["kind"] == k)).cast("long")
+    strong = F.filter(spans, lambda s: s["kind"].isin(*base))
+    return found.select("doc_id", *(of(k).alias(f"n_{k}") for k in base), F.sha2(digest(strong), 256).alias("base_sha256"), digest(F.col(spans)).alias("spans"))
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return _counted(secrets.with_spans(docs, out="found").drop("text"), "found", secrets.BASE_KINDS)
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return _counted(pii.with_spans(docs, out="found").drop("text"), "found", pii.KINDS[:4])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_toxicity": op2_toxicity,
+    "op9_secret_scan": op9_secret_scan,
+    "op10_pii": op10_pii,
 }
 
 ORACLE: dict[str, str] = {}

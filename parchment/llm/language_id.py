@@ -29,6 +29,7 @@ UNKNOWN = "und"
 PROFILE_SIZE = 400
 #: Bound of the training sample: so many whole documents of each language, those with the least hash of doc_id.
 SAMPLE_PER_LANGUAGE = 1500
+SALTS = 64
 _MAX_COUNT = (1 << 20) - 1
 
 _FOLD = np.full(256, 32, np.uint8)
@@ -85,9 +86,11 @@ def learn_profiles(labelled: DataFrame, text: str = "text", lang: str = "lang",
     The result has at most size codes a language, whatever the input's size.
     """
     rows = labelled.select(F.col(key).alias("k"), F.col(lang).cast("string").alias("l"), F.col(text).alias("t")).where("l is not null and k is not null")
-    order = Window.partitionBy("l").orderBy(F.xxhash64("k"), "k")
-    # the group limit keeps per_language ids of a language in each task before the shuffle
-    chosen = rows.select("l", "k").withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_language).select("l", "k").distinct()
+    # first within each of SALTS shares of a language, so that no task gets more than SALTS * per_language ids of it
+    ids = rows.select("l", "k").distinct().withColumn("h", F.xxhash64("k"))
+    for part in (["l", F.pmod(F.col("h"), F.lit(SALTS))], ["l"]):
+        ids = ids.withColumn("n", F.row_number().over(Window.partitionBy(*part).orderBy("h", "k"))).where(F.col("n") <= per_language).drop("n")
+    chosen = ids.select("l", "k")
     sample = rows.join(F.broadcast(chosen), ["l", "k"], "left_semi")  # per_language ids a language, at most
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

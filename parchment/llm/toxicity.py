@@ -25,7 +25,7 @@ from parchment.llm.textbuf import U64, chunks, mix, prefix_hash, run_starts, spa
 SLOTS_LOG2 = 20
 #: Bound of the training sample: so many labelled documents at most, those with the least hash of doc_id.
 SAMPLE_ROWS = 16_000
-ALPHA, BETA, L1, L2, EPOCHS = 0.15, 1.0, 0.6, 1e-4, 3
+ALPHA, BETA, L1, L2, EPOCHS = 2.0, 1.0, 3.0, 1e-4, 8
 
 
 def slots(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
