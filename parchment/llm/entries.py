@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parchment.llm import language_id, pii, secrets, toxicity
+from parchment.llm import language_id, media, pii, secrets, toxicity, warc
 from parchment.llm.common import crc_mod, table
 from parchment.llm.spans import digest
 
@@ -28,6 +28,14 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
+def op5_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def _counted(found: DataFrame, spans: str, base: tuple[str, ...]) -> DataFrame:
     """The digest columns of the span operators."""
     of = lambda k: F.size(F.filter(spans, lambda s: s["kind"] == k)).cast("long")
@@ -48,8 +56,23 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_toxicity": op2_toxicity,
+    "op5_media_columns": op5_media_columns,
+    "op8_warc": op8_warc,
     "op9_secret_scan": op9_secret_scan,
     "op10_pii": op10_pii,
 }
 
-ORACLE: dict[str, str] = {}
+_HEX = "'0x' || substr(d, {0}, 5)"
+#: Base32 of a SHA-1: eight times five hexadecimal digits make four characters.
+_BASE32 = " || ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((({_HEX.format(5 * i + 1)})::bigint >> {s}) & 31) + 1)::bigint, 1)" for i in range(8) for s in (15, 10, 5, 0))
+
+ORACLE: dict[str, str] = {
+    "op8_warc": f"""
+with p as (select page_id, coalesce(html, '') h from pages),
+q as (select page_id, strlen(h)::bigint payload_bytes, sha1(h) d from p),
+r as (select *, max(page_id) over (partition by d, payload_bytes) last_id from q)
+select page_id, payload_bytes, {_BASE32} payload_digest,
+       case when last_id is not null and page_id is distinct from last_id then 'revisit' else 'response' end record_type,
+       case when last_id is not null and page_id is distinct from last_id then last_id end refers_to
+from r""",
+}
