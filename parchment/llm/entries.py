@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parchment.llm import language_id, media, minhash, pii, secrets, toxicity, warc
+from parchment.llm import decontaminate, language_id, media, minhash, pii, secrets, toxicity, warc
 from parchment.llm.common import crc_mod, table
 from parchment.llm.spans import digest
 
@@ -28,6 +28,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -60,6 +64,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_toxicity": op2_toxicity,
+    "op3_decontaminate": op3_decontaminate,
     "op4_minhash": op4_minhash,
     "op5_media_columns": op5_media_columns,
     "op8_warc": op8_warc,
