@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parchment.llm import decontaminate, language_id, media, minhash, pii, secrets, toxicity, warc
+from parchment.llm import decontaminate, language_id, media, minhash, packing, pii, secrets, toxicity, warc
 from parchment.llm.common import crc_mod, table
 from parchment.llm.spans import digest
 
@@ -40,6 +40,17 @@ def op5_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def vocabulary() -> tuple[str, str]:
+    """Paths of the public vocabulary: for the tokenizers library, and as ranks."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"), *vocabulary())
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
@@ -67,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontaminate": op3_decontaminate,
     "op4_minhash": op4_minhash,
     "op5_media_columns": op5_media_columns,
+    "op7_packing": op7_packing,
     "op8_warc": op8_warc,
     "op9_secret_scan": op9_secret_scan,
     "op10_pii": op10_pii,
