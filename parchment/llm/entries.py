@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parchment.llm import decontaminate, language_id, media, minhash, packing, pii, secrets, toxicity, warc
+from parchment.llm import decontaminate, language_id, media, minhash, packing, pii, secrets, suffix_dedup, toxicity, warc
 from parchment.llm.common import crc_mod, table
 from parchment.llm.spans import digest
 
@@ -40,6 +40,10 @@ def op5_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def vocabulary() -> tuple[str, str]:
     """Paths of the public vocabulary: for the tokenizers library, and as ranks."""
     import public_tokenizers
@@ -78,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontaminate": op3_decontaminate,
     "op4_minhash": op4_minhash,
     "op5_media_columns": op5_media_columns,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_packing": op7_packing,
     "op8_warc": op8_warc,
     "op9_secret_scan": op9_secret_scan,
