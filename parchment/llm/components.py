@@ -9,27 +9,27 @@ from parchment.llm.common import cut
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """(id, comp) for every end of a link; comp is the least id of the component.
+    """(id, comp) for every id that isn't itself the least of its component; comp is that least id.
 
-    In each round every vertex of the contracted graph takes its least neighbour's label, and links inside one
-    label vanish; stars vanish at once and chains halve, so few rounds are needed.  Each round is written out.
+    In each round every vertex hooks onto its least neighbour, hooks are shortened, and links are carried over
+    to the hooked vertices; links inside one vanish.  A star round its least id takes one round, and a chain
+    shrinks to a quarter or less.  Each round is written out.
     """
-    both = links.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v")
-    edges = both.union(both.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct()
-    labels = cut(edges.groupBy(F.col("u").alias("id")).agg(F.least(F.min("v"), F.first("u")).alias("comp")), "labels")
-    edges = cut(edges, "edges")
+    edges = cut(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v"), "edges")
+    labels = None
     while True:
-        hook = labels.select(F.col("id").alias("u"), F.col("comp").alias("cu"))
-        # links between labels, each as it is now
-        edges = edges.join(hook, "u").select(F.col("cu").alias("u"), "v")
-        edges = edges.join(hook.select(F.col("u").alias("v"), F.col("cu").alias("cv")), "v").select("u", F.col("cv").alias("v")).where("u <> v").distinct()
-        edges = cut(edges, "edges")
-        roots = labels.select(F.col("comp").alias("r")).distinct()
-        up = labels.select(F.col("id").alias("r"), F.col("comp").alias("up"))  # a label is a vertex and has a label
-        least = edges.groupBy(F.col("u").alias("r")).agg(F.min("v").alias("near"))
-        step = roots.join(up, "r", "left").join(least, "r", "left").select("r", F.least("r", "up", "near").alias("to"))
-        moved = cut(step.where("r <> to"), "moved")
-        if edges.isEmpty() and moved.isEmpty():
+        hook = edges.groupBy("u").agg(F.min("v").alias("to"))
+        for _ in range(2):
+            up = hook.select(F.col("u").alias("to"), F.col("to").alias("up"))
+            hook = hook.join(up, "to", "left").select("u", F.coalesce("up", "to").alias("to"))
+        hook = cut(hook, "hooks")
+        if labels is None:
+            labels = hook.select(F.col("u").alias("id"), F.col("to").alias("comp"))
+        else:
+            moved = labels.join(hook.withColumnRenamed("u", "comp"), "comp", "left").select("id", F.coalesce("to", "comp").alias("comp"))
+            labels = cut(moved.union(hook.join(labels, hook["u"] == labels["id"], "left_anti").select("u", "to")), "labels")
+        at_v = hook.select(F.col("u").alias("v"), F.col("to").alias("tv"))
+        ends = edges.join(hook, "u").join(at_v, "v", "left").select(F.col("to").alias("x"), F.coalesce("tv", "v").alias("y"))
+        edges = cut(ends.where("x <> y").select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).distinct(), "edges")
+        if edges.isEmpty():
             return labels
-        to = moved.select(F.col("r").alias("comp"), "to")
-        labels = cut(labels.join(to, "comp", "left").select("id", F.coalesce("to", "comp").alias("comp")), "labels")

@@ -8,10 +8,10 @@ equal components estimates the probability Jaccard similarity; bands of the sign
 exact similarity of the two texts confirms them.
 
 Links.  Equal texts are one class from the start and enter as their least id.  In a band's bucket no pairs are
-emitted: members are compared with a pivot, then with the member that has most links among the rest, and
-buckets whose members are all in one component are done.  What is left after PIVOTS rounds is compared block by
-block inside tasks by signature, where only pairs of different components that may reach the threshold come
-out.  So every pair that shares a band is either in one component or compared.
+emitted.  First every member is compared with the bucket's least id.  Buckets whose members then are in one
+component are done.  In the others, members of different components are compared block by block inside tasks,
+each block keeping track of what it has joined, and only links that join two components come out.  So every two
+texts that share a band are either in one component or compared, exactly.
 
 Words are runs of letters, digits and characters outside ASCII, without case.
 
@@ -38,10 +38,9 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 26, 5
 COMPONENTS = BANDS * ROWS
-PIVOTS = 3
-BLOCK = 1024
-#: Signatures agree this much less than the similarity at most: four standard deviations.
-SLACK = 4 * (THRESHOLD * (1 - THRESHOLD) / COMPONENTS) ** 0.5
+SIGNED_AT_ONCE = 1000
+#: Bytes of text of one bucket's members that a task compares with as many others, or with the least id.
+BLOCK_BYTES = 4 << 20
 _GOLD = U64(0x9E3779B97F4A7C15)
 _ID_BITS = 16
 
@@ -114,26 +113,37 @@ def bands(sig: np.ndarray, n_bands: int = BANDS, rows: int = ROWS) -> np.ndarray
     return acc.view(np.int64)
 
 
-def _sign(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+def _band_keys(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """text -> keys of its bands; none for a text without words."""
     for texts in batches:
-        sigs, keys, has = [], [], []
+        keys, has = [], []
         for _, buf, off in chunks(texts, lower=True):
-            for i in range(0, len(off) - 1, 50_000):
-                part = off[i : i + 50_001]
+            for i in range(0, len(off) - 1, SIGNED_AT_ONCE):  # a signature's work is by text, however short it is
+                part = off[i : i + SIGNED_AT_ONCE + 1]
                 sig, ok = signatures(*shingles(buf[part[0] : part[-1]], part - part[0]), len(part) - 1)
-                sigs.append(sig)
                 keys.append(bands(sig))
                 has.append(ok)
-        n = len(texts)
         ok = np.concatenate(has) if has else np.zeros(0, bool)
-        sig = np.concatenate(sigs) if sigs else np.zeros((0, COMPONENTS), np.uint16)
         ends = np.concatenate(([0], np.cumsum(np.where(ok, BANDS, 0)))).astype(np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys)[ok].reshape(-1) if keys else np.zeros(0, np.int64)))
-        raw = pa.Array.from_buffers(pa.binary(2 * COMPONENTS), n, [None, pa.py_buffer(np.ascontiguousarray(sig))]).cast(pa.binary())
-        yield pa.StructArray.from_arrays([raw, lists], ["sig", "bands"])
+        yield pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys)[ok].reshape(-1) if keys else np.zeros(0, np.int64)))
 
 
-_sign.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+def _packed_sets(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """text -> its shingles at five bytes each, and their weights where one isn't 1."""
+    for texts in batches:
+        sets, weights = [], []
+        for _, buf, off in chunks(texts, lower=True):
+            doc, element, weight = shingles(buf, off)
+            at = np.searchsorted(doc, np.arange(len(off)))
+            raw = np.ascontiguousarray(element.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5])
+            for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+                sets.append(raw[a:b].tobytes())
+                weights.append(None if (weight[a:b] == 1).all() else weight[a:b].astype("<u4").tobytes())
+        yield pa.StructArray.from_arrays([pa.array(sets, pa.binary()), pa.array(weights, pa.binary())], ["elements", "weights"])
+
+
+for _f in (_band_keys, _packed_sets):
+    _f.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
 
 
 def probability_jaccard(wa: np.ndarray, wb: np.ndarray) -> float:
@@ -149,110 +159,124 @@ def probability_jaccard(wa: np.ndarray, wb: np.ndarray) -> float:
     return float((n[own] / worst.sum(0)).sum())
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(a, b, text_a, text_b) -> (a, b, similarity)."""
-    for batch in batches:
-        n = batch.num_rows
-        out = np.zeros(n)
-        for i in range(0, n, 256):
-            part = batch.slice(i, 256)
-            k = part.num_rows
-            texts = pa.concat_arrays([part.column(2).cast(pa.large_string()), part.column(3).cast(pa.large_string())])
-            doc, element, weight = [], [], []
-            for first, buf, off in chunks(texts, lower=True):
-                d, e, w = shingles(buf, off)
-                doc.append(d + first)
-                element.append(e)
-                weight.append(w)
-            doc, element, weight = np.concatenate(doc), np.concatenate(element), np.concatenate(weight)
-            at = np.searchsorted(doc, np.arange(2 * k + 1))
-            for j in range(k):
-                a, b = slice(at[j], at[j + 1]), slice(at[j + k], at[j + k + 1])
-                union, inv = np.unique(np.concatenate((element[a], element[b])), return_inverse=True)
-                wa, wb = np.zeros(len(union), np.int64), np.zeros(len(union), np.int64)
-                cut_at = at[j + 1] - at[j]
-                wa[inv[:cut_at]], wb[inv[cut_at:]] = weight[a], weight[b]
-                out[i + j] = probability_jaccard(wa, wb)
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out)], ["a", "b", "similarity"])
-
-
-def _agree(x: pa.Array, y: pa.Array) -> pa.Array:
-    """Share of equal components of two signatures."""
-    a, b = (np.frombuffer(b"".join(c.to_pylist()), np.uint16).reshape(-1, COMPONENTS) for c in (x, y))
-    return pa.array((a == b).mean(axis=1))
-
-
-_agree.__annotations__ = {"x": pa.Array, "y": pa.Array, "return": pa.Array}
+class Sets:
+    """Weighted sets of one task, compared exactly and one with all at a time."""
+
+    def __init__(self, elements: list[bytes], weights: list[bytes | None]):
+        raw = np.frombuffer(b"".join(elements), np.uint8).reshape(-1, 5)
+        wide = np.zeros((len(raw), 8), np.uint8)
+        wide[:, :5] = raw
+        n = np.array([len(x) // 5 for x in elements], np.int64)
+        self.begin = np.cumsum(n) - n
+        self.end = self.begin + n
+        known, self.code = np.unique(wide.view("<u8").ravel(), return_inverse=True)
+        self.look = np.zeros(len(known), np.float64)
+        self.weight = np.ones(len(raw), np.float64)
+        self.plain = np.array([w is None for w in weights], bool)
+        for i in np.flatnonzero(~self.plain):
+            self.weight[self.begin[i] : self.end[i]] = np.frombuffer(weights[i], "<u4")
+        self.total = np.add.reduceat(self.weight, self.begin)
+
+    def similarity(self, i: int, least: float) -> np.ndarray:
+        """J_P of set i and each set; exact where it reaches least."""
+        own = slice(self.begin[i], self.end[i])
+        self.look[self.code[own]] = self.weight[own]
+        theirs = self.look[self.code]
+        self.look[self.code[own]] = 0
+        shared = theirs > 0
+        both = np.add.reduceat(np.where(shared, self.weight, 0), self.begin)
+        if self.plain[i]:
+            out = both / (self.total[i] + self.total - both)
+            odd = ~self.plain
+        else:
+            out, odd = np.zeros(len(self.total)), np.ones(len(self.total), bool)
+        # a shared element adds at most its share of either set's weight
+        most = np.minimum(np.add.reduceat(theirs, self.begin) / self.total[i], both / self.total)
+        for k in np.flatnonzero(odd & (most >= least)):
+            them = slice(self.begin[k], self.end[k])
+            union, inv = np.unique(np.concatenate((self.code[own], self.code[them])), return_inverse=True)
+            wa, wb = np.zeros(len(union), np.int64), np.zeros(len(union), np.int64)
+            n = own.stop - own.start
+            wa[inv[:n]], wb[inv[n:]] = self.weight[own], self.weight[them]
+            out[k] = probability_jaccard(wa, wb)
+        out[odd & (most < least)] = 0
+        return out
+
+
+def _links(a: np.ndarray, b: np.ndarray) -> pa.Table:
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def _star(threshold: float):
+    """Some members of a bucket and its least id -> links with that."""
+
+    def run(table: pa.Table) -> pa.Table:
+        ids, hubs = table.column("rep").to_numpy(), table.column("hub").to_numpy()
+        near = Sets(table.column("elements").to_pylist(), table.column("weights").to_pylist())
+        at = np.flatnonzero(ids == hubs)
+        if not len(at):
+            return _links([], [])
+        other = ids[(near.similarity(int(at[0]), threshold) >= threshold) & (ids != hubs)]
+        return _links(np.full(len(other), hubs[0]), other)
+
+    return run
 
 
 def _cross(threshold: float):
-    """Group of one pair of blocks of a bucket -> pairs of different components whose signatures agree enough."""
+    """Two blocks of a bucket (or one) -> links that join components which nothing joined yet."""
 
     def run(table: pa.Table) -> pa.Table:
-        ids, comp, block = (table.column(c).to_numpy() for c in ("rep", "comp", "block"))
+        ids, root, block = (table.column(c).to_numpy().copy() for c in ("rep", "comp", "block"))
+        if len(ids) < 2 or (root == root[0]).all():
+            return _links([], [])
         x, y = table.column("x")[0].as_py(), table.column("y")[0].as_py()
-        sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint16).reshape(-1, COMPONENTS)
-        left, right, out = np.flatnonzero(block == x), np.flatnonzero(block == y), []
-        for i in left:
-            other = right[(comp[right] != comp[i]) & ((x != y) | (ids[right] > ids[i]))]
-            near = other[(sig[other] == sig[i]).mean(axis=1) >= threshold]
-            out += [(min(ids[i], ids[k]), max(ids[i], ids[k])) for k in near]
-        a, b = zip(*out, strict=True) if out else ((), ())
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+        near, out = Sets(table.column("elements").to_pylist(), table.column("weights").to_pylist()), []
+        names, sizes = np.unique(root, return_counts=True)
+        # of two components one isn't the largest, so its members meet all others
+        for i in np.flatnonzero(root != names[sizes.argmax()]):
+            there = np.ones(len(ids), bool) if x == y else block != block[i]
+            if not (there & (root != root[i])).any():
+                continue
+            found = np.flatnonzero(there & (near.similarity(int(i), threshold) >= threshold))
+            for k in found:
+                if root[k] != root[i]:
+                    out.append((ids[i], ids[k]))
+                    root[root == root[k]] = root[i]
+        return _links([a for a, _ in out], [b for _, b in out])
 
     return run
 
 
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, rep_id, class_id) of every row: the least id with an equal text, and the least id of the class."""
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("h", F.unhex(F.md5("text")))
+    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     own = rows.where("doc_id is not null")
-    signed = own.select("doc_id", "h", F.arrow_udf(_sign, "sig binary, bands array<long>")("text").alias("s"))
-    signed = cut(signed.select("doc_id", "h", "s.sig", "s.bands"), "signed")
+    signed = cut(own.select("doc_id", F.unhex(F.md5("text")).alias("h"), F.octet_length("text").cast("long").alias("size"), F.arrow_udf(_band_keys, "array<long>")("text").alias("bands")), "signed")
     # equal texts are one representative; each task sends one row of a text
-    reps = cut(signed.groupBy("h").agg(F.min("doc_id").alias("rep"), F.min_by(F.struct("sig", "bands"), "doc_id").alias("s")).select("h", "rep", "s.sig", "s.bands"), "reps")
-    sigs = reps.select("rep", "sig")
-    keys = reps.select("rep", F.explode("bands").alias("band"))
+    reps = cut(signed.groupBy("h").agg(F.min("doc_id").alias("rep"), F.first("size").alias("size"), F.first("bands").alias("bands")), "reps")
+    keys = reps.select("rep", "size", F.explode("bands").alias("band"))
     shared = keys.groupBy("band").agg(F.min("rep").alias("hub"), F.max("rep").alias("last")).where("hub <> last").select("band", "hub")
     members = cut(keys.join(shared, "band"), "members")
-    wanted = members.select("rep").distinct()
     # the texts that may be compared, once; the other texts are read no more
-    texts = cut(own.join(wanted, own["doc_id"] == wanted["rep"], "left_semi").select(F.col("doc_id").alias("id"), "text").dropDuplicates(["id", "text"]), "texts")
-
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        """Pairs whose exact similarity reaches the threshold; those whose signatures exclude it aren't read."""
-        a, b = sigs.select(F.col("rep").alias("a"), F.col("sig").alias("sa")), sigs.select(F.col("rep").alias("b"), F.col("sig").alias("sb"))
-        likely = pairs.join(a, "a").join(b, "b").where(F.arrow_udf(_agree, "double")("sa", "sb") >= threshold - SLACK).select("a", "b")
-        ta, tb = texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), texts.select(F.col("id").alias("b"), F.col("text").alias("tb"))
-        full = likely.join(tb, "b").join(ta, "a").select("a", "b", "ta", "tb")
-        return full.mapInArrow(_compare, "a long, b long, similarity double").where(F.col("similarity") >= threshold).select("a", "b").distinct()
-
-    tested = cut(members.where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct(), "tested")
-    links = cut(confirmed(tested), "links")
+    wanted = own.join(members.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    sets = wanted.select(F.col("doc_id").alias("rep"), F.arrow_udf(_packed_sets, "elements binary, weights binary")("text").alias("s"))
+    sets = cut(sets.select("rep", "s.*").where(F.length("elements") > 0).dropDuplicates(["rep"]), "sets")
+
+    pairs = members.where("rep <> hub").select("hub", "rep", "size").distinct()
+    share = pairs.groupBy("hub").agg(F.ceil(F.sum("size") / BLOCK_BYTES).cast("int").alias("shares"))
+    hubs = share.select("hub", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), F.col("hub").alias("rep"))
+    dealt = pairs.join(share, "hub").select("hub", F.pmod(F.xxhash64("rep"), F.col("shares")).cast("int").alias("share"), "rep").union(hubs)
+    links = cut(dealt.join(sets, "rep").groupBy("hub", "share").applyInArrow(_star(threshold), "a long, b long"), "links")
     labels = components(links)
-    for turn in range(PIVOTS + 1):
-        found = members.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("band", "rep", F.coalesce("comp", "rep").alias("comp"))
-        split = found.groupBy("band").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("band")
-        open_ = cut(found.join(split, "band"), "open")
-        if open_.isEmpty():
-            break
-        if turn < PIVOTS:
-            ends = links.select(F.col("a").alias("rep")).union(links.select(F.col("b").alias("rep"))).groupBy("rep").agg(F.count("*").alias("degree"))
-            # in each bucket the member with most links so far that wasn't compared as one of a round before
-            ranked = open_.join(ends, "rep", "left").join(tested.select(F.col("a").alias("rep")).distinct().withColumn("used", F.lit(1)), "rep", "left")
-            pivots = ranked.where("used is null").groupBy("band").agg(F.min_by(F.struct(F.col("rep").alias("pivot"), F.col("comp").alias("own")), F.struct(-F.coalesce("degree", F.lit(0)), "rep")).alias("p")).select("band", "p.*")
-            pairs = open_.join(pivots, "band").where("comp <> own").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
-        else:
-            size = open_.groupBy("band").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-            dealt = open_.join(size, "band").join(sigs, "rep").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-            dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("band", "rep", "comp", "sig", "block", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))
-            pairs = dealt.groupBy("band", "x", "y").applyInArrow(_cross(threshold - SLACK), "a long, b long").distinct()
-        done = tested.union(tested.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        pairs = cut(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
-        more = cut(confirmed(pairs), "links")
-        tested, links = tested.union(pairs), links.union(more)
-        if not more.isEmpty():
-            labels = components(links)
+
+    found = members.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("band", "rep", "size", F.coalesce("comp", "rep").alias("comp"))
+    split = found.groupBy("band").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.ceil(F.sum("size") / BLOCK_BYTES).cast("int").alias("blocks")).where("low <> high").select("band", "blocks")
+    parts = found.join(split, "band").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    parts = parts.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("band", "rep", "comp", "block", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))
+    more = parts.join(sets, "rep").groupBy("band", "x", "y").applyInArrow(_cross(threshold), "a long, b long").distinct()
+    more = cut(more, "links")
+    if not more.isEmpty():
+        labels = components(links.union(more))
     named = signed.select("doc_id", "h").join(reps.select("h", "rep"), "h").join(labels.withColumnRenamed("id", "rep"), "rep", "left")
     out = named.select("doc_id", F.col("rep").alias("rep_id"), F.coalesce("comp", "rep").alias("class_id"))
     return out.unionByName(rows.where("doc_id is null").select("doc_id", F.lit(None).cast("long").alias("rep_id"), F.lit(None).cast("long").alias("class_id")))
