@@ -6,13 +6,17 @@ The engine's own inputs are listings and documents; here each operator runs over
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from parchment import schema
 from parchment.functions import text as T
-from parchment.operators import attribution, grouping, segments
+from parchment.operators import attribution, grouping, rendering, segments, verify
 from parchment.plans import sync
+from parchment.sources import catalog
+from parchment.streaming import sync_stream
 
 TODAY = "2026-09-27"
 Query = Callable[[SparkSession, str], DataFrame]
@@ -402,3 +406,57 @@ def running_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "documents").select("source", "doc_id", F.when(k % 10 == 0, F.concat(F.lit("s"), k)).alias("section"), F.when(k % 4 == 0, F.concat(F.lit("g"), k)).alias("group"))
     out = segments.running_headings(rows, ["source"], "doc_id", ["section", "group"])
     return out.select("source", "doc_id", F.col("running_section").alias("section"), F.col("running_group").alias("group"))
+
+
+# ---- pages of HTML and stored snapshots
+
+
+@query()
+def html_render(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = table(spark, sf_dir, "pages").select("page_id", rendering.html_text("html").alias("t"))
+    return text.select("page_id", F.size(F.split("t", "\n")).cast("long").alias("lines"), F.md5("t").alias("digest"))
+
+
+@query("select page_id, len(regexp_extract_all(html, '<a [^>]*href=\"[^#\"][^\"]*\"'))::bigint n_links from pages")
+def link_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = table(spark, sf_dir, "pages")
+    n = rendering.links(p, "page_id", "url", "html").groupBy("page_id").agg(F.count("*").alias("n_links"))
+    return p.select("page_id").join(n, "page_id", "left").select("page_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
+@query(r"select page_id, lower(ltrim(regexp_replace(regexp_replace(url, '^[a-z]+://[^/?#]*', ''), '[?#].*$', ''), '/')) id, regexp_replace(url, '#.*$', '') url from pages")
+def resolve_url(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "pages").select("page_id", rendering.resolved("url").alias("r")).select("page_id", "r.id", "r.url")
+
+
+@query("""
+with d as (select doc_id, lang, source, doc_id % 10 r from documents)
+select lang as scope, cast(doc_id as varchar) as key, case when r = 3 then 'no file_sha256' else 'is html with text null and ocr_text null' end problem from d where r in (3, 7)""")
+def verify_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Planted defects, each found as its own problem."""
+    d, r = table(spark, sf_dir, "documents"), F.col("doc_id") % 10
+    rows = d.select(
+        F.col("doc_id").cast("string").alias("id"), F.col("lang").alias("partition"), F.col("lang").alias("_stored_in"), F.lit(True).alias("listed"), F.lit("html").alias("text_source"), F.when(r != 7, F.col("text")).alias("text"),
+        F.lit(None).cast("string").alias("ocr_text"), F.when(r != 3, F.sha2("text", 256)).alias("file_sha256"),
+    )
+    return verify.row_problems(rows)
+
+
+@query()
+def schema_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = schema.conform(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text"), schema.DOCUMENTS)
+    found = [("conformed", x) for x in schema.differences(d.schema, schema.DOCUMENTS)] + [("documents", x) for x in schema.differences(table(spark, sf_dir, "documents").schema, schema.DOCUMENTS)]
+    return spark.createDataFrame(found, "tbl string, problem string")
+
+
+@query("select user_id, max(event_id) event_id, arg_max(event_type, event_id) event_type, arg_max(value, event_id) as \"value\" from events group by 1")
+def stream_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state that a stream of changes ends in: the same as merging them at once."""
+    e = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "value")
+    first = sync_stream.merge(e.limit(0), e.where("event_id % 2 = 0"), "user_id", "event_id")
+    return sync_stream.merge(first, e.where("event_id % 2 = 1"), "user_id", "event_id")
+
+
+@query()
+def catalog_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return catalog.listing_pages(spark, date.fromisoformat(TODAY)).groupBy("collection").agg(F.count("*").alias("pages"), F.min("term").alias("first_term"), F.max("term").alias("last_term"))
