@@ -10,9 +10,15 @@ import numpy as np
 import pyarrow as pa
 
 
+def _planes(v: np.ndarray) -> bytes:
+    """An array's bytes by place: first bytes of all numbers, then second ones, so that like bytes lie together."""
+    v = np.ascontiguousarray(v)
+    return v.view(np.uint8).reshape(-1, v.itemsize).T.tobytes() if v.itemsize > 1 else v.tobytes()
+
+
 def dump(**arrays: np.ndarray) -> bytes:
     head = json.dumps([[k, v.dtype.str, len(v)] for k, v in arrays.items()]).encode()
-    raw = struct.pack("<I", len(head)) + head + b"".join(np.ascontiguousarray(v).tobytes() for v in arrays.values())
+    raw = struct.pack("<I", len(head)) + head + b"".join(map(_planes, arrays.values()))
     return struct.pack("<Q", len(raw)) + pa.compress(raw, "zstd", asbytes=True)
 
 
@@ -22,8 +28,10 @@ def load(blob: bytes) -> dict[str, np.ndarray]:
     (n,) = struct.unpack_from("<I", raw)
     out, at = {}, 4 + n
     for k, kind, length in json.loads(raw[4 : 4 + n]):
-        out[k] = np.frombuffer(raw, kind, length, at)
-        at += out[k].nbytes
+        wide = np.dtype(kind).itemsize
+        planes = np.frombuffer(raw, np.uint8, length * wide, at).reshape(wide, length)
+        out[k] = np.ascontiguousarray(planes.T).reshape(-1).view(kind)
+        at += length * wide
     return out
 
 

@@ -17,7 +17,7 @@ text, so only suffixes at anchors are sorted, and they decide for all others:
 Every step first keeps the earliest of equal records in its own batch, so a passage that a third of all
 documents share reaches a bucket once a batch, not once a document.  Records travel packed.
 
-Keys are hashes of 96 bits or more of the bytes they stand for.
+Keys are 96 bits or more of hashes of the bytes they stand for.
 
 Edge cases.  A null text counts as empty.  Texts shorter than LENGTH keep everything.  A null id counts as smaller
 than all others.  Rows that repeat an id are one place in the order: strings at equal starts of them aren't
@@ -42,6 +42,7 @@ LENGTH = 100
 GRAM = 40
 SPAN = LENGTH - GRAM + 1
 BUCKET_BYTES = 16 << 20
+PART_BYTES = 2 << 20
 SAMPLE_BYTES, SAMPLE_KEYS = 16 << 20, 400_000
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 _NULL = np.iinfo(np.int64).min
@@ -74,12 +75,12 @@ def anchors(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, ...]:
     first = np.flatnonzero(np.concatenate(([True], (own[1:] != own[:-1]) | (starts[1:] != starts[:-1] + 1)))) if len(starts) else np.zeros(0, np.int64)
     low, high, at = starts[first], starts[np.append(first[1:], len(starts)) - 1] if len(starts) else starts, own[first].astype(np.int64)
     doc = np.searchsorted(off, low, "right") - 1
-    gram = span_hash(prefix, at, at + GRAM) & U64((1 << 48) - 1)
-    cover = mix(span_hash(prefix, low, high + LENGTH) + (at - low).astype(U64) * U64(131) + (high - low).astype(U64)) & U64((1 << 48) - 1)
+    gram = span_hash(prefix, at, at + GRAM) >> U64(24)
+    cover = mix(span_hash(prefix, low, high + LENGTH) + (at - low).astype(U64) * U64(131) + (high - low).astype(U64)) >> U64(24)
     lead = np.zeros(len(at), U64)
     for k in range(5):
         lead = (lead << U64(8)) | buf[at + k]
-    return doc, at, low, high, (lead << U64(24)) | (gram >> U64(24)), gram, cover
+    return doc, at, low, high, (lead << U64(24)) | (gram >> U64(16)), gram, cover
 
 
 def _earliest(keys: tuple[np.ndarray, ...], doc: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -125,7 +126,7 @@ def _find_anchors(splitters: np.ndarray, buckets: int):
             lost = order[later]
             if len(lost):
                 yield _kind(1, dealt(_doc_bucket(doc[lost], buckets), doc=doc[lost], start=at[lost] - high[lost], n=high[lost] - low[lost], open=np.zeros(len(lost), bool)))
-            k = order[~later]
+            k = np.sort(order[~later])  # by document and place, which packs best; the bucket sorts anyway
             if len(k):
                 yield _kind(0, dealt(np.searchsorted(splitters, key[k], "right").astype(np.int32), key=key[k], gram=gram[k], cover=cover[k], doc=doc[k], at=at[k], low=low[k], high=high[k]))
 
@@ -206,7 +207,7 @@ def _open_windows(buckets: int):
                 np.cumsum(_TWO[part] * powers("up", len(part)), out=q[1:])
                 two[k] = (span_hash(q, p, p + LENGTH) >> U64(32)).astype(np.uint32)
             order, later = _earliest((one, two), doc, start)
-            lost, keep = order[later], order[~later]
+            lost, keep = order[later], np.sort(order[~later])
             if len(lost):
                 out.append(_kind(1, dealt(_doc_bucket(doc[lost], buckets), doc=doc[lost], start=start[lost].astype(np.uint32), n=np.zeros(len(lost), np.uint8), open=np.zeros(len(lost), bool))))
             bucket = ((one[keep] >> U64(32)) * U64(buckets) >> U64(32)).astype(np.int32)
@@ -233,20 +234,32 @@ def _remove(_key, docs: pa.Table, found: pa.Table) -> pa.Table:
     f = {k: v[~f["open"]] for k, v in f.items()}
     i, row = _places(ids, f["doc"])
     i, row = (x[_fits(f["start"][i], f["n"][i], row, off)] for x in (i, row))
-    begin = off[row] + f["start"][i]
-    end = begin + f["n"][i] + LENGTH
+    order = np.argsort(row, kind="stable")
+    i, row = i[order], row[order]
+    n_rows, out, a = len(ids), [], 0
+    while a < n_rows:  # some texts at a time, or one
+        b = max(a + 1, int(np.searchsorted(off, off[a] + PART_BYTES, "right")) - 1)
+        own = slice(*np.searchsorted(row, (a, b)))
+        begin = off[row[own]] - off[a] + f["start"][i[own]]
+        out.append(_kept(buf[off[a] : off[b]], off[a : b + 1] - off[a], begin, begin + f["n"][i[own]] + LENGTH))
+        a = b
+    size, removed, spans, digests = (np.concatenate(x) for x in zip(*out, strict=True)) if out else ([], [], [], [])
+    return pa.table({"doc_id": pa.array(ids, pa.int64(), mask=ids == _NULL), "n_bytes": pa.array(size, pa.int64()), "n_removed": pa.array(removed, pa.int64()), "n_spans": pa.array(spans, pa.int64()), "kept_sha256": pa.array(digests, pa.string())})
+
+
+def _kept(buf: np.ndarray, off: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(bytes, bytes removed, removed runs, digest of the rest) of each text, without begin to end of buf."""
     depth = np.bincount(begin, minlength=len(buf) + 1) - np.bincount(end, minlength=len(buf) + 1)
     gone = np.cumsum(depth[: len(buf)]) > 0
-    kept = ~gone
     total = np.concatenate(([0], np.cumsum(gone)))
     edge = gone.copy()
     edge[1:] &= ~gone[:-1]
     inner = off[:-1][off[:-1] < len(buf)]
     edge[inner] = gone[inner]  # a run ends with its text
     runs = np.concatenate(([0], np.cumsum(edge)))
-    size, removed = np.diff(off), total[off[1:]] - total[off[:-1]]
-    digests = [hashlib.sha256((buf[a:b][kept[a:b]] if r else buf[a:b]).tobytes()).hexdigest() for a, b, r in zip(off[:-1].tolist(), off[1:].tolist(), removed.tolist(), strict=True)]
-    return pa.table({"doc_id": pa.array(ids, pa.int64(), mask=ids == _NULL), "n_bytes": size.astype(np.int64), "n_removed": removed.astype(np.int64), "n_spans": (runs[off[1:]] - runs[off[:-1]]).astype(np.int64), "kept_sha256": pa.array(digests, pa.string())})
+    removed = total[off[1:]] - total[off[:-1]]
+    digests = [hashlib.sha256((buf[a:b][~gone[a:b]] if r else buf[a:b]).tobytes()).hexdigest() for a, b, r in zip(off[:-1].tolist(), off[1:].tolist(), removed.tolist(), strict=True)]
+    return np.diff(off), removed, runs[off[1:]] - runs[off[:-1]], np.array(digests, object)
 
 
 def splitters_of(docs: DataFrame, n_bytes: int, buckets: int) -> np.ndarray:
@@ -279,7 +292,8 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", bucke
     bucket_of.__annotations__ = {"docs_": pa.Array, "return": pa.Array}
     placed = rows.withColumn("bucket", F.arrow_udf(bucket_of, "int")("doc_id")).repartition(buckets, "bucket")
     windows = placed.groupBy("bucket").cogroup(found.repartition(buckets, "bucket").groupBy("bucket")).applyInArrow(_open_windows(buckets), f"kind int, {BLOBS}")
-    more = cut(windows.repartition(buckets, "kind", "bucket").groupBy("kind", "bucket").applyInArrow(_by_kind(_sort_windows(buckets)), BLOBS), "windows")
+    more = windows.repartition(buckets, "kind", "bucket").groupBy("kind", "bucket").applyInArrow(_by_kind(_sort_windows(buckets)), BLOBS)
+    # one query with the step before, so the documents' exchange serves both
     return placed.groupBy("bucket").cogroup(found.unionByName(more).repartition(buckets, "bucket").groupBy("bucket")).applyInArrow(_remove, RESULT)
 
 
