@@ -84,7 +84,8 @@ class SnapshotStore:
         out = f"{self.root}/_staging/{run}"
         ordered = rows.withColumn(copy, F.col("partition")).repartition(copy).sortWithinPartitions(copy, self.key)
         ordered.write.partitionBy(copy).option("compression", "zstd").option("parquet.block.size", ROW_GROUP_BYTES).parquet(out)
-        written = self.spark.read.parquet(out)
+        # declared, so that a commit without rows reads and a partition 2020 stays text
+        written = self.spark.read.schema(T.StructType([*self.schema.fields, T.StructField(copy, T.StringType())])).parquet(out)
         stats = written.groupBy(copy).agg(F.count("*").alias("rows"), F.count_if("listed").alias("listed"), F.coalesce(F.sum("file_size"), F.lit(0)).alias("file_bytes"), F.sha2(F.array_join(F.array_sort(F.collect_list(F.col(self.key))), "\n"), 256).alias("ids_sha256")) if "listed" in rows.columns else written.groupBy(copy).agg(F.count("*").alias("rows"))
         manifest = json.loads(json.dumps(base)) | record
         manifest["version"] = number
