@@ -273,7 +273,7 @@ def splitters_of(docs: DataFrame, n_bytes: int, buckets: int) -> np.ndarray:
     part = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int((1 << 20) * min(1.0, SAMPLE_BYTES / max(n_bytes, 1))))
     got = part.mapInArrow(keys, "key long").limit(SAMPLE_KEYS).toArrow().column("key").to_numpy().view(U64)
     got = np.sort(got)
-    return got[(np.arange(1, buckets) * len(got)) // buckets] if len(got) else np.arange(1, buckets, dtype=U64) * U64((1 << 64) // buckets)
+    return got[(np.arange(1, buckets) * len(got)) // buckets] if len(got) else np.arange(1, buckets, dtype=U64) * U64(((1 << 64) - 1) // buckets)
 
 
 def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
