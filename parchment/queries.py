@@ -108,10 +108,9 @@ x as (select a.event_type, cast(a.day as date) as day, a.n, b.n before from now_
 select event_type || '/' || day as url, before, case when extract(day from day) % 2 = 0 then 'held' else 'fatal' end verdict from x where n = 0 and coalesce(before, 0) > 0""")
 def held_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
-    days = spark.range(30).select(F.expr("date_add(date '2024-01-01', cast(id as int))").alias("day"))
     got = e.where((F.col("event_type") != "error") | (F.dayofmonth("ts") % 3 != 0)).groupBy("event_type", "day").agg(F.count("*").alias("n"))
-    # every page of every day: event types are a handful of values
-    pages = e.select("event_type").distinct().join(days).join(got, ["event_type", "day"], "left").select("event_type", "day", F.coalesce("n", F.lit(0)).alias("entries"))
+    days = F.explode(F.sequence(F.lit("2024-01-01").cast("date"), F.lit("2024-01-30").cast("date")))
+    pages = e.select("event_type").distinct().select("event_type", days.alias("day")).join(got, ["event_type", "day"], "left").select("event_type", "day", F.coalesce("n", F.lit(0)).alias("entries"))
     now = pages.select(F.concat_ws("/", "event_type", "day").alias("url"), "entries", (F.dayofmonth("day") % 2 == 0).alias("explained"))
     last = pages.select(F.concat_ws("/", "event_type", F.date_add("day", 1)).alias("url"), "entries")
     return sync.held_pages(now, last)
