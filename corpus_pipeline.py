@@ -10,12 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parchment.llm import decontaminate, language_id, minhash, packing, secrets
-from parchment.llm.common import cut, fresh
+from parchment.llm.common import cut, fresh, small_batches
 from parchment.llm.entries import vocabulary
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a known language, which becomes their lang; those without one (no letters) go."""
+    small_batches(spark)
     guess, score = fresh(docs, "__lang"), fresh(docs, "__lang_score")
     named = language_id.identify(docs, language_id.learn_profiles(docs), lang_out=guess, score_out=score)
     return named.where(F.col(guess) != language_id.UNKNOWN).withColumn("lang", F.col(guess)).select(*docs.columns)
@@ -23,6 +24,7 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near-duplicates: the one with the least id.  Rows without an id stay."""
+    small_batches(spark)
     found = minhash.classes(docs)
     gone = found.where("doc_id <> class_id").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
@@ -30,6 +32,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark passage."""
+    small_batches(spark)
     return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(*docs.columns)
 
 
@@ -41,6 +44,7 @@ def secret_masks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packed sequences: one row for each piece of a document."""
+    small_batches(spark)
     return packing.pack(docs, *vocabulary())
 
 

@@ -41,6 +41,11 @@ def drop_path(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+def small_batches(spark: SparkSession, most: str = "8m") -> None:
+    """Bound the text that goes to Python at once; a record count alone doesn't, as texts may be long."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", most)
+
+
 def tasks_for(n_bytes: int, per_task: int = TASK_BYTES, least: int = 1) -> int:
     """Number of partitions for so many bytes."""
     return max(least, -(-int(n_bytes or 0) // per_task))

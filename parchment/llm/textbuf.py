@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 1_000_000
 
 U64 = np.uint64
 _rng = np.random.Generator(np.random.PCG64(20240607))
@@ -33,20 +33,29 @@ def chunks(col: pa.Array, max_bytes: int = CHUNK_BYTES, lower: bool = False) ->
     """(first row, buf, off) of consecutive rows with at most max_bytes (or one row); null is empty."""
     if isinstance(col, pa.ChunkedArray):
         col = col.combine_chunks()
-    col = pc.fill_null(col, "").cast(pa.large_string())
-    if lower:
-        col = pc.utf8_lower(col)
-    n = len(col)
+    if col.null_count:
+        col = pc.fill_null(col, "")
+    n, i = len(col), 0
     if not n:
         return
-    _, b_off, b_data = col.buffers()
-    off = np.frombuffer(b_off, np.int64)[col.offset : col.offset + n + 1]
-    data = np.frombuffer(b_data, np.uint8) if b_data is not None else np.zeros(0, np.uint8)
-    i = 0
+    wide = np.int64 if pa.types.is_large_string(col.type) else np.int32
+    off, data = _buffers(col, wide)
     while i < n:
         j = max(i + 1, int(np.searchsorted(off, off[i] + max_bytes, "right")) - 1)
-        yield i, data[off[i] : off[j]], off[i : j + 1] - off[i]
+        if lower:  # only what is in hand is copied
+            o, d = _buffers(pc.utf8_lower(col.slice(i, j - i)), wide)
+        else:
+            o, d = off[i : j + 1], data
+        yield i, d[o[0] : o[-1]], o.astype(np.int64) - int(o[0])
         i = j
+    pa.default_memory_pool().release_unused()  # workers live on after a stage
+
+
+def _buffers(col: pa.Array, wide: type) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets, bytes) of a string array."""
+    _, b_off, b_data = col.buffers()
+    off = np.frombuffer(b_off, wide)[col.offset : col.offset + len(col) + 1]
+    return off, np.frombuffer(b_data, np.uint8) if b_data is not None else np.zeros(0, np.uint8)
 
 
 def powers(base: str, n: int) -> np.ndarray:
