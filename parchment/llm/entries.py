@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parchment.llm import decontaminate, language_id, media, minhash, packing, pii, secrets, suffix_dedup, toxicity, warc
-from parchment.llm.common import crc_mod, table
+from parchment.llm.common import crc_mod, small_batches, table
 from parchment.llm.spans import digest
 
 
@@ -33,6 +33,7 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return minhash.classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
@@ -52,6 +53,7 @@ def vocabulary() -> tuple[str, str]:
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"), *vocabulary())
 
 
@@ -94,6 +96,18 @@ _HEX = "'0x' || substr(d, {0}, 5)"
 _BASE32 = " || ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((({_HEX.format(5 * i + 1)})::bigint >> {s}) & 31) + 1)::bigint, 1)" for i in range(8) for s in (15, 10, 5, 0))
 
 ORACLE: dict[str, str] = {
+    # islands of repeated windows are the removed runs; what is kept is joined as hexadecimal text
+    "op6_suffix_dedup": """
+with d as (select doc_id, encode(coalesce(text, '')) t, hex(encode(coalesce(text, ''))) h from documents),
+w as (select doc_id, unnest(range(0, greatest(octet_length(t) - 99, 0))) s, t from d),
+q as (select doc_id, s, md5_number(cast(t[s + 1:s + 100] as blob)) m from w),
+r as (select doc_id, s, row_number() over (partition by m order by doc_id, s) n from q),
+g as (select doc_id, s, coalesce(s > lag(s) over (partition by doc_id order by s) + 100, true) fresh from r where n > 1),
+i as (select doc_id, s, sum(fresh::int) over (partition by doc_id order by s) k from g),
+x as (select doc_id, k, min(s) a, max(s) + 100 b from i group by all),
+y as (select doc_id, a, b, coalesce(lag(b) over (partition by doc_id order by a), 0) before, k = max(k) over (partition by doc_id) last from x),
+z as (select y.doc_id, sum(b - a) removed, count(*) spans, string_agg(substr(h, 2 * before + 1, 2 * (a - before)) || case when last then substr(h, 2 * b + 1) else '' end, '' order by a) kept from y join d using (doc_id) group by all)
+select doc_id, (length(h) // 2)::bigint n_bytes, coalesce(removed, 0)::bigint n_removed, coalesce(spans, 0)::bigint n_spans, sha256(unhex(case when z.doc_id is null then h else kept end)) kept_sha256 from d left join z using (doc_id)""",
     "op8_warc": f"""
 with p as (select page_id, coalesce(html, '') h from pages),
 q as (select page_id, strlen(h)::bigint payload_bytes, sha1(h) d from p),

@@ -29,7 +29,7 @@ UNKNOWN = "und"
 PROFILE_SIZE = 400
 #: Bound of the training sample: so many whole documents of each language, those with the least hash of doc_id.
 SAMPLE_PER_LANGUAGE = 1500
-SALTS = 64
+SALTS = 16
 _MAX_COUNT = (1 << 20) - 1
 
 _FOLD = np.full(256, 32, np.uint8)
