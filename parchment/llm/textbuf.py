@@ -6,6 +6,7 @@ their ends, so numpy sees a batch of documents as one array and no Python code r
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,6 +15,8 @@ import pyarrow.compute as pc
 
 CHUNK_BYTES = 1_000_000
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+
 U64 = np.uint64
 _rng = np.random.Generator(np.random.PCG64(20240607))
 #: Random 64-bit value of each byte, so that hashes are not sums of small numbers.
@@ -48,7 +51,14 @@ def chunks(col: pa.Array, max_bytes: int = CHUNK_BYTES, lower: bool = False) ->
             o, d = off[i : j + 1], data
         yield i, d[o[0] : o[-1]], o.astype(np.int64) - int(o[0])
         i = j
-    pa.default_memory_pool().release_unused()  # workers live on after a stage
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system: workers live on after a stage, and others need it then."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
 
 
 def _buffers(col: pa.Array, wide: type) -> tuple[np.ndarray, np.ndarray]:
