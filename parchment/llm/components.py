@@ -13,9 +13,9 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     In each round every vertex hooks onto its least neighbour, hooks are shortened, and links are carried over
     to the hooked vertices; links inside one vanish.  A star round its least id takes one round, and a chain
-    shrinks to a quarter or less.  Each round is written out.
+    shrinks to a quarter or less.  Each round is written out; links should be a written table already.
     """
-    edges = cut(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v"), "edges")
+    edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v")
     labels = None
     while True:
         hook = edges.groupBy("u").agg(F.min("v").alias("to"))

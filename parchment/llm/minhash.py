@@ -251,8 +251,9 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold:
     """(doc_id, rep_id, class_id) of every row: the least id with an equal text, and the least id of the class."""
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     own = rows.where("doc_id is not null")
-    signed = cut(own.select("doc_id", F.unhex(F.md5("text")).alias("h"), F.octet_length("text").cast("long").alias("size"), F.arrow_udf(_band_keys, "array<long>")("text").alias("bands")), "signed")
+    digest = F.unhex(F.md5("text")).alias("h")
     # equal texts are one representative; each task sends one row of a text
+    signed = own.select("doc_id", digest, F.octet_length("text").cast("long").alias("size"), F.arrow_udf(_band_keys, "array<long>")("text").alias("bands"))
     reps = cut(signed.groupBy("h").agg(F.min("doc_id").alias("rep"), F.first("size").alias("size"), F.first("bands").alias("bands")), "reps")
     keys = reps.select("rep", "size", F.explode("bands").alias("band"))
     shared = keys.groupBy("band").agg(F.min("rep").alias("hub"), F.max("rep").alias("last")).where("hub <> last").select("band", "hub")
@@ -277,6 +278,6 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold:
     more = cut(more, "links")
     if not more.isEmpty():
         labels = components(links.union(more))
-    named = signed.select("doc_id", "h").join(reps.select("h", "rep"), "h").join(labels.withColumnRenamed("id", "rep"), "rep", "left")
+    named = own.select("doc_id", digest).join(reps.select("h", "rep"), "h").join(labels.withColumnRenamed("id", "rep"), "rep", "left")
     out = named.select("doc_id", F.col("rep").alias("rep_id"), F.coalesce("comp", "rep").alias("class_id"))
     return out.unionByName(rows.where("doc_id is null").select("doc_id", F.lit(None).cast("long").alias("rep_id"), F.lit(None).cast("long").alias("class_id")))
