@@ -1,8 +1,9 @@
-"""python -m parchment list|run|verify|card|summarize: the catalog's collections in a store folder."""
+"""python -m parchment list|run|verify|card|summarize|cases: the catalog's collections in a store folder."""
 
 from __future__ import annotations
 
 import argparse
+import hashlib
 import json
 import time
 from datetime import UTC, date, datetime
@@ -11,12 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parchment import cards
-from parchment.operators.grouping import summarize
+from parchment.operators.cases import GRANTED, OPINIONS, REPORTS, TRANSCRIPTS, attributed
+from parchment.operators.grouping import seeded_sample, summarize
 from parchment.operators.verify import verify
+from parchment.plans.casebuild import case_rows, coverage
 from parchment.plans.runner import Run, status, sync
 from parchment.plans.store import SnapshotStore
-from parchment.plans.sync import Options
-from parchment.schema import DOCUMENTS
+from parchment.plans.sync import MAX_ATTEMPTS, Options, live_diff
+from parchment.schema import CASES, DOCUMENTS
 from parchment.session import local_session, ship
 from parchment.sources.catalog import ABOUT_PAGES, COLLECTIONS, Collection
 from parchment.sources.http import Fetcher
@@ -83,9 +86,40 @@ def stored_rows(store: SnapshotStore, manifest: dict) -> DataFrame:
     return out
 
 
+#: Files that may differ between a listing and the store before it counts: the site changes while it is read.
+TOLERANCE = 2
+
+
+def live_problems(spark: SparkSession, rows: DataFrame, manifest: dict, units: DataFrame) -> list[dict]:
+    """What the site lists now against what is stored, where more than TOLERANCE files differ."""
+    given_up = spark.createDataFrame([(k,) for k, f in manifest["failures"].items() if f["attempts"] >= MAX_ATTEMPTS], "id string")
+    counts = {r.kind: r["count"] for r in live_diff(units.select("id"), rows.where("listed").select("id"), given_up).groupBy("kind").count().collect()}
+    return [{"scope": "live", "key": None, "problem": f"{n} files {kind}"} for kind, n in sorted(counts.items()) if kind != "missing_but_failed" and n > TOLERANCE]
+
+
+def download_problems(rows: DataFrame, client: Fetcher, n: int, seed: str) -> list[dict]:
+    """A seeded sample of listed files, fetched again and compared by hash; pages that change with every request aren't compared."""
+    out = []
+    for r in seeded_sample(rows.where("listed and media_type <> 'text/html'").select("id", "url", "file_sha256"), "id", n, seed).collect():
+        data, _ = client.fetch(r.url)
+        if hashlib.sha256(data).hexdigest() != r.file_sha256:
+            out.append({"scope": "download", "key": r.id, "problem": "the site's bytes differ"})
+    return out
+
+
+def build_cases(spark: SparkSession, root: str, today: date) -> dict:
+    """Cases of all terms from the stores of their source collections, committed as one version."""
+    docs = None
+    for name in (*OPINIONS, TRANSCRIPTS, GRANTED, REPORTS):
+        part = SnapshotStore(spark, f"{root}/{name}").read().drop("file").withColumn("collection", F.lit(name))
+        docs = part if docs is None else docs.unionByName(part)
+    store = SnapshotStore(spark, f"{root}/cases", CASES, "docket", F.concat(F.lit("OT"), F.col("term")))
+    return store.commit(case_rows(attributed(docs, F.lit(today))), store.manifest())
+
+
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="parchment")
-    p.add_argument("command", choices=("list", "run", "verify", "card", "summarize"))
+    p.add_argument("command", choices=("list", "run", "verify", "card", "summarize", "cases"))
     p.add_argument("--dataset", action="append", choices=tuple(COLLECTIONS), help="default: all")
     p.add_argument("--store", default="file:///tmp/parchment-store")
     p.add_argument("--budget-minutes", type=float, default=300.0)
@@ -94,14 +128,22 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--refetch", action="store_true")
     p.add_argument("--revalidate-all", action="store_true")
     p.add_argument("--deep", action="store_true")
+    p.add_argument("--live", action="store_true")
+    p.add_argument("--redownload", type=int, default=0)
+    p.add_argument("--seed", default="0")
     args = p.parse_args(argv)
     today, now = date.today(), datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%S")
     spark, client, bad = local_session("parchment"), Fetcher(), 0
     ship(spark)
+    if args.command == "cases":
+        build_cases(spark, args.store, today)
+        rows = coverage(SnapshotStore(spark, f"{args.store}/cases", CASES, "docket").read()).collect()
+        print(cards.cases_card([tuple(r) for r in rows]))
+        return 0
     for name in args.dataset or COLLECTIONS:
         collection, store = COLLECTIONS[name], SnapshotStore(spark, f"{args.store}/{name}", DOCUMENTS)
         manifest = store.manifest()
-        if args.command in ("list", "run"):
+        if args.command in ("list", "run") or (args.command == "verify" and args.live):
             pages, found = crawl(collection, client, today)
             units = units_of(spark, collection, found, today)
         if args.command == "list":
@@ -120,8 +162,11 @@ def main(argv: list[str] | None = None) -> int:
             bad |= run.stopped not in (None, "budget")
         elif args.command == "verify":
             entries = [(k, e["rows"], e.get("listed"), e.get("ids_sha256")) for k, e in manifest["partitions"].items()]
-            problems = verify(stored_rows(store, manifest), spark.createDataFrame(entries, "partition string, rows long, listed long, ids_sha256 string"), args.deep)
+            stored = stored_rows(store, manifest)
+            problems = verify(stored, spark.createDataFrame(entries, "partition string, rows long, listed long, ids_sha256 string"), args.deep)
             rows = [r.asDict() for r in problems.orderBy("scope", "key", "problem").limit(100).collect()]
+            rows += live_problems(spark, stored, manifest, units) if args.live else []
+            rows += download_problems(stored, client, args.redownload, args.seed) if args.redownload else []
             print(json.dumps({"collection": name, "problems": rows}))
             bad |= bool(rows)
         elif args.command == "card":

@@ -10,7 +10,7 @@ from __future__ import annotations
 import json
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,8 +24,11 @@ class Superseded(RuntimeError):
 
 
 class SnapshotStore:
-    def __init__(self, spark: SparkSession, root: str, schema: T.StructType = DOCUMENTS, key: str = "id"):
+    """partition gives a row's partition: a column of the schema, or an expression over its columns."""
+
+    def __init__(self, spark: SparkSession, root: str, schema: T.StructType = DOCUMENTS, key: str = "id", partition: Column | str = "partition"):
         self.spark, self.root, self.schema, self.key = spark, root.rstrip("/"), schema, key
+        self.partition = F.col(partition) if isinstance(partition, str) else partition
         jvm = spark.sparkContext._jvm
         self._path = jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -82,11 +85,14 @@ class SnapshotStore:
         rows = conform(changed, self.schema)
         copy = "_partition"
         out = f"{self.root}/_staging/{run}"
-        ordered = rows.withColumn(copy, F.col("partition")).repartition(copy).sortWithinPartitions(copy, self.key)
+        ordered = rows.withColumn(copy, self.partition).repartition(copy).sortWithinPartitions(copy, self.key)
         ordered.write.partitionBy(copy).option("compression", "zstd").option("parquet.block.size", ROW_GROUP_BYTES).parquet(out)
         # declared, so that a commit without rows reads and a partition 2020 stays text
         written = self.spark.read.schema(T.StructType([*self.schema.fields, T.StructField(copy, T.StringType())])).parquet(out)
-        stats = written.groupBy(copy).agg(F.count("*").alias("rows"), F.count_if("listed").alias("listed"), F.coalesce(F.sum("file_size"), F.lit(0)).alias("file_bytes"), F.sha2(F.array_join(F.array_sort(F.collect_list(F.col(self.key))), "\n"), 256).alias("ids_sha256")) if "listed" in rows.columns else written.groupBy(copy).agg(F.count("*").alias("rows"))
+        counts = [F.count("*").alias("rows"), F.sha2(F.array_join(F.array_sort(F.collect_list(F.col(self.key))), "\n"), 256).alias("ids_sha256")]
+        if "listed" in rows.columns:
+            counts += [F.count_if("listed").alias("listed"), F.coalesce(F.sum("file_size"), F.lit(0)).alias("file_bytes")]
+        stats = written.groupBy(copy).agg(*counts)
         manifest = json.loads(json.dumps(base)) | record
         manifest["version"] = number
         for r in stats.collect():  # one row a partition
@@ -99,6 +105,18 @@ class SnapshotStore:
         self._create(f"_manifests/{number:09d}.json", json.dumps(manifest, indent=1, sort_keys=True))
         return manifest
 
+    def files(self) -> DataFrame:
+        """(path, length) of every data file that the latest manifest names; contents aren't opened."""
+        paths = [f"{self.root}/{e['path']}" for e in self.manifest()["partitions"].values()]
+        reader = self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+        return reader.load(paths).select("path", "length") if paths else self.spark.createDataFrame([], "path string, length long")
+
+    def hashes(self) -> DataFrame:
+        """(path, sha256) of every data file, hashed where it is read."""
+        paths = [f"{self.root}/{e['path']}" for e in self.manifest()["partitions"].values()]
+        reader = self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+        return reader.load(paths).select("path", F.sha2("content", 256).alias("sha256")) if paths else self.spark.createDataFrame([], "path string, sha256 string")
+
     def _folder(self, out: str, column: str, value: str) -> str:
         escaped = self.spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
         return f"{out}/{column}={escaped}".removeprefix(self.root + "/")

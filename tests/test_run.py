@@ -9,7 +9,7 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from parchment import cards
-from parchment.cli import UNITS, crawl, stored_rows, units_of
+from parchment.cli import UNITS, build_cases, crawl, download_problems, live_problems, stored_rows, units_of
 from parchment.operators.verify import verify
 from parchment.plans.runner import Run, lease_of, status, sync
 from parchment.plans.store import SnapshotStore
@@ -133,3 +133,23 @@ def test_cards():
     assert "| Journal | 2 | 1 | incomplete |" in cards.category_card("case-documents", {"journal": manifest}) and "not started" in cards.category_card("about", {})
     assert cards.cases_card([(2020, 1, 1, 1, 0, 0), (None, 1, 1, 1, 0, 0)]).splitlines()[-1].startswith("| all | 1")
     assert cards.code_points({"private_use": 0, "private_use_rows": 0, "replacement": 2, "replacement_rows": 1}) == "1 row with 2 replacement characters."
+
+
+def test_live_checks_hashes_and_cases(spark, tmp_path):
+    root = f"file://{tmp_path}/r"
+    store = SnapshotStore(spark, f"{root}/argument-transcripts")
+    site = Site({f"https://h/{i}": b"%PDF-" + i.encode() for i in "abcd"})
+    rows = [(i, "OT2019", f"Case {i}") for i in "abcd"]
+    _, manifest, _ = run(store, spark, site, rows, "2026-09-01T00:00:00")
+    stored = stored_rows(store, manifest)
+    units = lambda ids: spark.createDataFrame([(i,) for i in ids], "id string")
+    assert live_problems(spark, stored, manifest, units("abcd")) == [] == live_problems(spark, stored, manifest, units("bcde"))
+    assert live_problems(spark, stored, manifest, units("axyz")) == [{"scope": "live", "key": None, "problem": "3 files extra"}, {"scope": "live", "key": None, "problem": "3 files missing"}]
+    assert download_problems(stored, site.client(), 9, "s") == []
+    site.pages["https://h/b"] = b"%PDF-other"
+    assert [p["key"] for p in download_problems(stored, site.client(), 9, "s")] == ["b"]
+    assert store.files().count() == store.hashes().count() >= 1
+    dockets = store.read().withColumn("docket", F.concat(F.lit("19-"), F.ascii("id")))
+    store.commit(dockets, manifest)
+    built = build_cases(spark, root, TODAY)
+    assert built["partitions"]["OT2019"]["rows"] == 4 and built["version"] == 1
