@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -23,9 +26,25 @@ def shared_dir(spark: SparkSession) -> str:
     return "file://" + os.path.join(tempfile.gettempdir(), "parchment-shared")
 
 
+_made: list[tuple[SparkSession, str]] = []
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the shared folder; it goes when the driver ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if not _made:
+        atexit.register(_clean)
+    _made.append((spark, path))
+    return path
+
+
+def _clean() -> None:
+    for spark, path in _made:
+        if path.startswith("file:"):
+            shutil.rmtree(path.removeprefix("file://"), ignore_errors=True)
+        else:
+            with contextlib.suppress(Exception):  # the session may have ended before
+                drop_path(spark, path)
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:

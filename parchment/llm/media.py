@@ -1,7 +1,7 @@
 """Media columns: archives of media members, read by a Spark data source in byte ranges.
 
 ``write_archives`` stores payloads as PNG images (64 pixels of three 8-bit samples a row, so 192 payload bytes
-a row) in ZIP files of stored members.  The data source ``media_archive`` lists a folder's archives, plans
+a row) in ZIP files of stored members.  The data source ``media_archive`` lists a folder's archives (those that its manifest names, where it has one), plans
 partitions of byte ranges over them, finds the members whose headers begin in its range from the archive's
 directory, and streams them in Arrow batches; each member is read and, on an error, read again by its own
 offset, so one bad member doesn't repeat the others.
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from parchment.llm.common import cut, scratch
+from parchment.llm.common import scratch
 from parchment.llm.files import Writing, attempt_name, columns, resolve
 
 ROW = 192
@@ -39,6 +39,7 @@ ARCHIVE_BYTES, ARCHIVE_MEMBERS = 128 << 20, 60_000
 RANGE_BYTES = 16 << 20
 BATCH_BYTES = 4 << 20
 ATTEMPTS = 3
+MANIFEST = "_manifest"
 _SIGNATURE = b"\x89PNG\r\n\x1a\n"
 _LOCAL = struct.Struct("<4s5H3L2H")
 MEMBERS = "path string, member string, offset long, media binary, error string"
@@ -154,7 +155,6 @@ class ByteRange(InputPartition):
 class MediaArchiveReader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
         self.folder = options["path"].rstrip("/")
-        self.only = set(filter(None, options.get("archives", "").split("\n")))
         self.range_bytes = int(options.get("rangeBytes", RANGE_BYTES))
         self.attempts = int(options.get("attempts", ATTEMPTS))
         self.keep = options.get("onError", "fail") == "keep"
@@ -164,7 +164,12 @@ class MediaArchiveReader(DataSourceReader):
 
         fs, path = resolve(self.folder)
         found = [(x.base_name, x.size) for x in fs.get_file_info(pfs.FileSelector(path)) if x.base_name.endswith(".zip")]
-        plan = [ByteRange(f"{self.folder}/{name}", at, min(at + self.range_bytes, size)) for name, size in sorted(found) for at in range(0, size, self.range_bytes) if not self.only or f"{self.folder}/{name}" in self.only]
+        if fs.get_file_info(f"{path}/{MANIFEST}").type == pfs.FileType.Directory:  # what lost attempts left behind isn't named there
+            from pyarrow import dataset
+
+            named = {os.path.basename(x) for x in dataset.dataset(f"{path}/{MANIFEST}", filesystem=fs, format="parquet").to_table(["path"]).column(0).to_pylist()}
+            found = [x for x in found if x[0] in named]
+        plan = [ByteRange(f"{self.folder}/{name}", at, min(at + self.range_bytes, size)) for name, size in sorted(found) for at in range(0, size, self.range_bytes)]
         return plan or [ByteRange("", 0, 0)]
 
     def read(self, part: ByteRange) -> Iterator[pa.RecordBatch]:
@@ -218,7 +223,7 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 class MediaArchiveSource(DataSource):
-    """spark.read.format("media_archive").load(folder); options rangeBytes, attempts, onError=fail|keep, archives."""
+    """spark.read.format("media_archive").load(folder); options rangeBytes, attempts, onError=fail|keep."""
 
     @classmethod
     def name(cls) -> str:
@@ -228,7 +233,7 @@ class MediaArchiveSource(DataSource):
         return MEMBERS
 
     def reader(self, schema) -> MediaArchiveReader:
-        return MediaArchiveReader({k: self.options.get(k) for k in ("path", "rangeBytes", "attempts", "onError", "archives") if self.options.get(k) is not None})
+        return MediaArchiveReader({k: self.options.get(k) for k in ("path", "rangeBytes", "attempts", "onError") if self.options.get(k) is not None})
 
 
 def read_archives(spark: SparkSession, folder: str, **options: str) -> DataFrame:
@@ -261,5 +266,5 @@ def round_trip(docs: DataFrame, folder: str | None = None) -> DataFrame:
     """Store every text of docs in archives and describe what the data source reads back."""
     spark = docs.sparkSession
     folder = folder or scratch(spark, "media")
-    cut(write_archives(docs, folder), "media-manifest")  # runs the write once, whatever reads the result how often
+    write_archives(docs, folder).write.parquet(f"{folder}/{MANIFEST}")  # the write runs once, however often the result is read
     return describe(read_archives(spark, folder))

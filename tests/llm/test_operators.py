@@ -293,6 +293,8 @@ def test_media_round_trip(spark, tmp_path, monkeypatch):
     docs = documents(spark).select("doc_id", "text").repartition(3)
     rows = collected(media.round_trip(docs, f"file://{tmp_path}/m"))
     assert len(rows) == docs.count() and len(media.MediaArchiveReader({"path": f"file://{tmp_path}/m"}).partitions()) > 3
+    media.write_archives(docs, f"file://{tmp_path}/m").collect()  # as if attempts had been lost after they wrote
+    assert media.read_archives(spark, f"file://{tmp_path}/m").count() == len(rows)
     for d, t in docs.collect():
         data = t.encode()
         payload = data + b" " * (-len(data) % 192)
