@@ -72,6 +72,17 @@ def mod97(account: Column) -> Column:
     return rest == 1
 
 
+def _account(s: Column) -> Column:
+    """The span if its digits check; else without a last short group, which may be a word; else null."""
+
+    def good(value: Column) -> Column:
+        account = F.replace(value, F.lit(" "), F.lit(""))
+        return F.when(F.length(account).between(15, 34), mod97(account)).otherwise(False)
+
+    short = F.regexp_replace(s["value"], r"\x20[A-Z0-9]{1,3}\z", "")
+    return F.when(good(s["value"]), s).when(good(short), F.struct(s["start"].alias("start"), (s["start"] + F.length(short)).alias("end"), short.alias("value")))
+
+
 def _typed(kind: str, found: Column, text: Column) -> Column:
     """Spans of a kind with a score from its pattern, checksum and the words before it."""
 
@@ -104,8 +115,7 @@ def with_spans(docs: DataFrame, text: str = "text", out: str = "pii") -> DataFra
     phone = _only(F.col(raw), F.col(raw).contains("+"), spans_of(F.col(raw), r"\+[0-9][\x20().0-9-]+[0-9]"))
     phone = F.filter(phone, lambda s: F.length(digits(s["value"])).between(10, 15))
     iban = spans_of(F.col(raw), r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
-    plain = lambda s: F.replace(s["value"], F.lit(" "), F.lit(""))
-    iban = F.filter(iban, lambda s: F.length(plain(s)).between(15, 34) & mod97(plain(s)))
+    iban = F.array_compact(F.transform(iban, _account))
     found = F.concat(*(_typed(k, c, F.col(raw)) for k, c in (("email", email), ("ip", ip), ("card", card), ("phone", phone), ("iban", iban))))
     return d.select(*kept, in_order(found).alias(out))
 

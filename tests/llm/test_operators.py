@@ -546,6 +546,8 @@ def test_pii_equals_the_base_patterns(spark):
 def test_checksums_and_context(spark):
     texts = ["pay to IBAN DE89 3704 0044 0532 0130 00 now", "DE89 3704 0044 0532 0130 01", "card 4111 1111 1111 1111", "4111 1111 1111 1111", "4111 1111 1111 1112"]
     got = pii.with_spans(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), out="p").orderBy("doc_id").collect()
+    word = pii.with_spans(spark.createDataFrame([(1, "ES91 2100 0418 4502 0005 1332 THE end")], "doc_id long, text string"), out="p").first()
+    assert [(s.kind, s.start, s.end) for s in word.p if s.kind == "iban"] == [("iban", 0, 29)]
     assert [[(s.kind, s.score) for s in r.p if s.kind in ("iban", "card")] for r in got] == [[("iban", 1.0)], [], [("card", 0.8)], [("card", 0.6)], []]
     masked = pii.masked(spark.createDataFrame([(1, "mail a@b.com, call +1 (208) 555-1177"), (2, None)], "doc_id long, text string"))
     assert [r.text for r in masked.orderBy("doc_id").collect()] == ["mail [EMAIL], call [PHONE]", None]
