@@ -34,3 +34,15 @@ def test_against_sql(spark, duck, name):
 
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("name", ["sync_plan", "unit_fingerprint", "page_spans", "top_title_first_seen", "assemble_cases", "fallback_anti", "source_signature"])
+def test_partitioning_does_not_matter(spark, name):
+    before, seen = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for n in ("1", "7"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            seen.append(normal(map(tuple, QUERIES[name](spark, SF).collect())))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert seen[0] == seen[1]
