@@ -7,8 +7,9 @@ one being cut at the window's end and opening the next window with its rest.  Wi
 term, the next unused document follows.  The rest of a shard's last window is cut into sequences whose lengths
 are powers of two, which need no padding, so no shard pads at all.
 
-Terms are words without case, hashed into 2**18 slots.  A document's query is its QUERY_TERMS rarest terms that
-another document of its shard has.
+Terms are words without case, hashed into 2**18 slots.  A document's query is all of its terms that another
+document of its shard has; bounds save work and never change the ranking.  Neighbours come from the seed's shard
+only.
 
 Edge cases.  A null or empty text is the single end id.  A null id is kept; its row sorts first.  Rows that
 repeat an id are separate documents; ties in score go to the earlier row by id, then by text.  An empty table
@@ -35,7 +36,10 @@ END_ID = 1
 SLOTS_LOG2 = 18
 SLICE = 1 << 12
 SHARD_BYTES = 8 << 20
-QUERY_TERMS = 12
+#: How many of a seed's terms are scored: all.
+QUERY_TERMS = None
+#: Neighbours that are found at first; a window takes few, and more are ranked when it asks.
+FIRST = 16
 K1, B = 1.2, 0.75
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 #: Sequence ids of a shard are shard * SHARD_IDS and up.
@@ -91,7 +95,7 @@ def statistics(docs: DataFrame, text: str = "text") -> tuple[np.ndarray, int, in
 
 
 class Index:
-    """BM25 over one shard: postings by slot, and each document's query."""
+    """BM25 over one shard: postings by slot, and by document for exact scores."""
 
     def __init__(self, doc: np.ndarray, slot: np.ndarray, count: np.ndarray, length: np.ndarray, idf: np.ndarray, mean: float):
         self.n = len(length)
@@ -103,36 +107,65 @@ class Index:
         del count, shared
         order = np.argsort(slot, kind="stable")
         self.doc, self.weight = doc[order].astype(np.int32), weight[order]
-        del order, weight
         self.at = np.concatenate(([0], np.cumsum(np.bincount(slot, minlength=1 << SLOTS_LOG2))))
-        # the rarest terms of each document
-        rare = np.lexsort((slot, -idf[slot], doc))
-        d, s = doc[rare], slot[rare]
-        first = run_starts(d)
-        rank = np.arange(len(d)) - np.repeat(first, np.diff(np.append(first, len(d))))
-        d, self.query = d[rank < QUERY_TERMS], s[rank < QUERY_TERMS]
-        self.query_at = np.searchsorted(d, np.arange(self.n + 1))
+        some = run_starts(slot[order])
+        self.most = np.zeros(1 << SLOTS_LOG2, np.float32)  # the greatest weight of a slot
+        self.most[slot[order][some]] = np.maximum.reduceat(self.weight, some) if len(some) else 0
+        del order
+        # as given, by document and slot
+        self.slot, self.own, self.own_at = slot.astype(np.int32), weight, np.searchsorted(doc, np.arange(self.n + 1))
+        self.asked = np.zeros(1 << SLOTS_LOG2, np.float32)
+
+    def _exact(self, docs: np.ndarray, terms: np.ndarray) -> np.ndarray:
+        """Scores of docs over all terms.  One order of adding, so that equal documents tie."""
+        n = np.diff(self.own_at)[docs]
+        ends = np.cumsum(n)
+        k = np.repeat(self.own_at[docs] - (ends - n), n) + np.arange(ends[-1])
+        self.asked[terms] = 1
+        score = np.add.reduceat(self.own[k] * self.asked[self.slot[k]], ends - n)
+        self.asked[terms] = 0
+        return score
+
+    def _ranked(self, docs: np.ndarray, terms: np.ndarray) -> np.ndarray:
+        return docs[np.argsort(-self._exact(docs, terms), kind="stable")] if len(docs) else docs
+
+    def _best(self, terms: np.ndarray, unused: np.ndarray) -> np.ndarray:
+        """The first FIRST unused documents by exact score (all that score, where they are fewer).
+
+        Terms of great weight are added first.  What the others can still add is bounded, so a document whose sum
+        and that bound stay below the FIRST-th sum isn't among the first; the rest are scored exactly.
+        """
+        terms = terms[np.argsort(-self.most[terms], kind="stable")]
+        left = np.append(np.cumsum(self.most[terms][::-1].astype(np.float64))[::-1], 0)
+        size = np.cumsum(self.at[terms + 1] - self.at[terms])
+        total, a = np.zeros(self.n), 0
+        while True:
+            b = max(a + 1, int(np.searchsorted(size, 2 * (size[a - 1] if a else self.n // 2), "right")))
+            spans = [slice(self.at[t], self.at[t + 1]) for t in terms[a:b]]
+            total += np.bincount(np.concatenate([self.doc[x] for x in spans]), np.concatenate([self.weight[x] for x in spans]), self.n)
+            a = min(b, len(terms))
+            live = np.where(unused, total, 0)
+            least = np.partition(live, self.n - FIRST)[self.n - FIRST] if self.n > FIRST else 0
+            # sums of floats in another order differ a little
+            docs = np.flatnonzero((live > 0) & (live + left[a] >= least * (1 - 1e-4) - 1e-4)) if least > left[a] or a == len(terms) else None
+            if docs is not None and (len(docs) <= 8 * FIRST or a == len(terms)):
+                return self._ranked(docs, terms)[:FIRST]
 
     def neighbours(self, seed: int, unused: np.ndarray) -> Iterator[int]:
-        """Unused documents by falling score."""
-        terms = self.query[self.query_at[seed] : self.query_at[seed + 1]]
-        spans = [slice(self.at[t], self.at[t + 1]) for t in terms]
-        if not spans:
+        """Unused documents by falling score over all the seed's terms."""
+        terms = self.slot[self.own_at[seed] : self.own_at[seed + 1]][:QUERY_TERMS]
+        if not len(terms):
             return
-        docs = np.concatenate([self.doc[x] for x in spans])
-        live = unused[docs]
-        docs = docs[live]
-        if not len(docs):
+        unused = unused.copy()
+        first = self._best(terms, unused)
+        yield from first.tolist()
+        if len(first) < FIRST:
             return
-        score = np.concatenate([self.weight[x] for x in spans])[live]
-        order = np.argsort(docs, kind="stable")
-        docs, score = docs[order], score[order]
-        at = run_starts(docs)
-        docs, score = docs[at], np.add.reduceat(score, at)
-        for k in range(0, len(docs)):
-            if k % 16 == 0:  # a window takes few
-                part = np.argsort(-score, kind="stable")[k : k + 16]
-            yield int(docs[part[k % 16]])
+        unused[first] = False
+        rest = np.zeros(self.n, bool)
+        for t in terms:
+            rest[self.doc[self.at[t] : self.at[t + 1]]] = True
+        yield from self._ranked(np.flatnonzero(rest & unused), terms).tolist()
 
 
 def plan(lengths: np.ndarray, index: Index, window: int = WINDOW) -> Iterator[tuple[int, int, int, int, int]]:

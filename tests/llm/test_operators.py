@@ -440,6 +440,28 @@ def test_neighbours_are_the_best_by_bm25():
         assert set(got) == {j for j, s in score.items() if s > 0} and all(score[a] >= score[b] - 1e-4 for a, b in zip(got, got[1:], strict=False))
 
 
+def test_neighbours_score_every_term_of_whole_documents():
+    rng = random.Random(12)
+    texts = [" ".join(f"w{int(1.02 ** rng.randrange(350))}" for _ in range(rng.randrange(20, 600))) for _ in range(150)]
+    # thirteen rare words that pair documents, and one whose relation shows in its many common words only
+    texts += ["".join(f"rare{i} " for i in range(13)), *(f"rare{i} other{i}" for i in range(13)), " ".join(f"w{i}" for i in range(1, 900, 2)), " ".join(f"w{i}" for i in range(1, 800, 2))] + texts[:2]
+    bags = [Counter(t.split()) for t in texts]
+    df = Counter(w for c in bags for w in c)
+    _, buf, off = next(textbuf.chunks(pa.array(texts), 1 << 30))
+    doc, slot, count, length = packing.term_counts(buf, off)
+    slots = np.bincount(slot, minlength=1 << packing.SLOTS_LOG2)
+    assert sorted(slots[slots > 0]) == sorted(df.values())  # no two words share a slot
+    n, mean = len(texts), length.mean()
+    idf = np.log1p((n - slots + 0.5) / (slots + 0.5)).astype(np.float32)
+    index = packing.Index(doc, slot, count, length, idf, mean)
+    for seed in range(n):
+        unused = np.array([j != seed and rng.random() < 0.8 for j in range(n)])
+        score = {j: sum(np.log1p((n - df[w] + 0.5) / (df[w] + 0.5)) * c[w] * (packing.K1 + 1) / (c[w] + packing.K1 * (1 - packing.B + packing.B * length[j] / mean)) for w in bags[seed] if c[w]) for j, c in enumerate(bags) if unused[j]}
+        got = list(index.neighbours(seed, unused))
+        assert len(got) == len(set(got)) and set(got) == {j for j, s in score.items() if s > 0}
+        assert all(score[a] >= score[b] - 1e-3 for a, b in zip(got, got[1:], strict=False))
+
+
 # ---- 8 archives
 
 
