@@ -17,7 +17,8 @@ text, so only suffixes at anchors are sorted, and they decide for all others:
 Every step first keeps the earliest of equal records in its own batch, so a passage that a third of all
 documents share reaches a bucket once a batch, not once a document.  Records travel packed.
 
-Keys are 96 bits or more of hashes of the bytes they stand for.
+Anchors that agree in key and gram are repeats by the 64 bits of cover alone, a hash of all bytes that their windows
+cover; windows by themselves are keyed by 96 bits of hashes.
 
 Edge cases.  A null text counts as empty.  Texts shorter than LENGTH keep everything.  A null id counts as smaller
 than all others.  Rows that repeat an id are one place in the order: strings at equal starts of them aren't
@@ -76,7 +77,7 @@ def anchors(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, ...]:
     low, high, at = starts[first], starts[np.append(first[1:], len(starts)) - 1] if len(starts) else starts, own[first].astype(np.int64)
     doc = np.searchsorted(off, low, "right") - 1
     gram = span_hash(prefix, at, at + GRAM) >> U64(24)
-    cover = mix(span_hash(prefix, low, high + LENGTH) + (at - low).astype(U64) * U64(131) + (high - low).astype(U64)) >> U64(24)
+    cover = mix(span_hash(prefix, low, high + LENGTH) + (at - low).astype(U64) * U64(131) + (high - low).astype(U64))
     lead = np.zeros(len(at), U64)
     for k in range(5):
         lead = (lead << U64(8)) | buf[at + k]

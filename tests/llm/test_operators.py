@@ -363,6 +363,15 @@ def test_passage_edges(spark):
     assert suffix_dedup.deduplicated(empty(spark)).count() == 0 and suffix_dedup.deduplicated(hard(spark)).count() == len(HARD)
 
 
+@pytest.mark.parametrize("pair", [("2440063", "3613805"), ("0581957", "0784145")])
+def test_covers_that_agree_in_40_bits_are_no_repeats(spark, pair):
+    head = "ahceaeaggfhabfhbbcafhbcghbadecdgdbachbhf" + "z" * 53
+    rows = [(k, head + x) for k, x in enumerate(pair)]
+    *_, key, gram, cover = (np.concatenate(x) for x in zip(*(suffix_dedup.anchors(np.frombuffer(t.encode(), np.uint8), np.array([0, 100])) for _, t in rows), strict=True))
+    assert key[0] == key[1] and gram[0] == gram[1] and cover[0] != cover[1]
+    assert sorted(map(tuple, suffix_dedup.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str) == brute_removed(rows)
+
+
 # ---- 7 packing
 
 
