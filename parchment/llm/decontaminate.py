@@ -5,19 +5,24 @@ moves on by a random bit that depends on j and the byte.  Strings at a small edi
 after each edit, so their embeddings are at a small Hamming distance.  Bit sampling keeps SAMPLES of the
 emitted bytes as a key.
 
-A window has its item's size and begins where a word does.  A walk may begin at any word of a window, and every
+A window has its item's size and begins where a word does; each character outside ASCII is a place to begin too, as
+scripts without spaces and punctuation of all scripts need.  A walk may begin at any word of a window, and every
 such word, with each of TABLES random walks, is one more repetition: a window with w words has w * TABLES
 chances to meet its item in a bucket.  Walks advance for all windows of a batch at once, and after the first
 samples only those go on whose samples begin some item's key; so most windows cost a few steps.
 
 Windows that share a key with an item are verified exactly, by bit-parallel edit distance over the window and a
 margin; a match is at most EDITS of the item's bytes away.  At that distance the measured recall is in the
-README; at distance 0 it is 1, since equal windows have equal walks.
+README; at distance 0 it is 1 wherever the passage begins, as the first SHORT bytes of items are looked up at every
+byte of the texts.
+
+An item of less than SHORT bytes is cut in one piece more than edits are allowed, so a match has one of them
+unchanged; the pieces are looked up at every byte, and places where one is are verified.  Nothing is missed.
 
 Items are the query set: they are read in blocks of bounded size and each block meets all documents.
 
 Texts are compared as UTF-8 bytes without ASCII case.  Edge cases: null and empty texts match nothing; null or
-empty items match nothing; an item of less than SHORT bytes matches only a text that equals it.  Equal items are
+empty items match nothing; an item of one character matches only a text that equals it.  Equal items are
 all reported, with their ids (null too).  Repeated rows give repeated results.  Extra columns pass through.
 """
 
@@ -31,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parchment.llm.common import fresh
-from parchment.llm.textbuf import BYTE_CODE, U64, chunks, mix, words
+from parchment.llm.textbuf import BYTE_CODE, U64, chunks, mix, prefix_hash, span_hash, words
 
 EDITS = 0.1
 TABLES = 2
@@ -70,6 +75,40 @@ def _padded(buf: np.ndarray) -> np.ndarray:
     return out
 
 
+def places(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(start, text index) of every word and every character outside ASCII."""
+    start, _, _ = words(buf, off)
+    start = np.union1d(start, np.flatnonzero(buf >= 0xC0))
+    return start, np.searchsorted(off, start, "right") - 1
+
+
+class Grams:
+    """Byte strings of one length, looked up at every byte of a chunk."""
+
+    def __init__(self, size: int, found: list[tuple[bytes, int, int]]):
+        self.size = size
+        buf = np.frombuffer(b"".join(g for g, _, _ in found), np.uint8)
+        at = np.arange(len(found)) * size
+        key = span_hash(prefix_hash(buf), at, at + size)
+        order = np.argsort(key, kind="stable")
+        self.key, self.item, self.place = key[order], np.array([i for _, i, _ in found])[order], np.array([p for _, _, p in found])[order]
+        self.some = np.zeros(1 << _FILTER_BITS, bool)
+        self.some[(key >> U64(64 - _FILTER_BITS)).astype(np.int64)] = True
+
+    def hits(self, prefix: np.ndarray, off: np.ndarray) -> np.ndarray:
+        """(text index, item, where the item would begin) of every occurrence."""
+        at = np.arange(max(len(prefix) - self.size, 0))
+        key = span_hash(prefix, at, at + self.size)
+        at = np.flatnonzero(self.some[(key >> U64(64 - _FILTER_BITS)).astype(np.int64)])
+        low, high = np.searchsorted(self.key, key[at], "left"), np.searchsorted(self.key, key[at], "right")
+        n = high - low
+        k = np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        at = np.repeat(at, n)
+        doc = np.searchsorted(off, at, "right") - 1
+        inside = at + self.size <= off[doc + 1]
+        return np.stack((doc, self.item[k], at - off[doc] - self.place[k]))[:, inside]
+
+
 class Items:
     """Keys of one block of items."""
 
@@ -78,12 +117,21 @@ class Items:
         self.texts = [_LOWER[np.frombuffer(x, np.uint8)].tobytes() for x in texts]
         self.short: dict[bytes, list[int]] = {}
         for k, x in enumerate(self.texts):
-            if len(x) < SHORT:
+            if len(x.decode()) == 1:
                 self.short.setdefault(x, []).append(k)
         long = [k for k, x in enumerate(self.texts) if len(x) >= SHORT]
+        grams: dict[int, list[tuple[bytes, int, int]]] = {}
+        for k, x in enumerate(self.texts):
+            if len(x) >= SHORT:
+                grams.setdefault(SHORT, []).append((x[:SHORT], k, 0))
+            elif len(x.decode()) > 1:
+                size = len(x) // (int(EDITS * len(x)) + 1)
+                for place in range(0, size * (int(EDITS * len(x)) + 1), size):
+                    grams.setdefault(size, []).append((x[place : place + size], k, place))
+        self.grams = [Grams(*x) for x in grams.items()]
         buf = np.frombuffer(b"".join(self.texts[k] + bytes(STEPS) for k in long), np.uint8)
         off = np.concatenate(([0], np.cumsum([len(self.texts[k]) + STEPS for k in long]))).astype(np.int64)
-        start, _, doc = words(buf, off) if long else (np.zeros(0, np.int64),) * 3
+        start, doc = places(buf, off) if long else (np.zeros(0, np.int64),) * 2
         begin = off[:-1] if long else np.zeros(0, np.int64)
         # an item's first byte is a place to begin, word or not
         start, doc = np.concatenate((start, begin)), np.concatenate((doc, np.arange(len(long))))
@@ -144,8 +192,9 @@ def find(items: Items, buf: np.ndarray, off: np.ndarray) -> dict[int, list[tuple
     """(item, start, end, distance) of the matches by text index; at most one where matches of an item overlap."""
     buf = _LOWER[buf]
     padded = _padded(buf)
-    start, _, doc = words(buf, off)
-    hits = []
+    start, doc = places(buf, off)
+    prefix = prefix_hash(buf)
+    hits = [g.hits(prefix, off) for g in items.grams]
     for t, (early, keys, item, place) in enumerate(items.tables):
         if not len(keys):
             continue
@@ -183,7 +232,7 @@ def find(items: Items, buf: np.ndarray, off: np.ndarray) -> dict[int, list[tuple
                     rows.append((i_, *got))
     if items.short:
         sizes = np.diff(off)
-        for d_ in np.flatnonzero((sizes < SHORT) & (sizes > 0)).tolist():
+        for d_ in np.flatnonzero((sizes <= 4) & (sizes > 0)).tolist():
             for i_ in items.short.get(buf[off[d_] : off[d_ + 1]].tobytes(), ()):
                 found.setdefault(d_, []).append((i_, 0, int(sizes[d_]), 0))
     return found

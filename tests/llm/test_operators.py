@@ -196,6 +196,37 @@ def test_items_in_blocks_find_the_same(spark, monkeypatch):
     assert len(list(decontaminate.blocks(items))) > 1 and sorted(map(tuple, decontaminate.leaks(docs, items).collect())) == whole
 
 
+def test_short_items_and_scripts_without_spaces_are_found():
+    rng = random.Random(13)
+    short = ["What is the boiling point of water?", "Who wrote Hamlet?", "水的沸点是多少？", "ab"]
+    # wide characters, among them punctuation and spaces of three bytes
+    wide = ["".join(rng.choice("天地玄黄宇宙洪荒日月盈昃辰宿列张。，　") for _ in range(n)) for n in (14, 40, 90)] + ["".join(rng.choice("กขคงจฉชซ") for _ in range(40))]
+    long = ["It begins in the middle of a word, and goes on for a while"]
+    items = short + wide + long
+    block = decontaminate.Items(list(range(len(items))), [x.encode() for x in items])
+    around = "".join(rng.choice("春夏秋冬東西南北") for _ in range(30))
+    texts = [f"Quiz. {x.upper()} And more text." for x in items] + [around + x + around for x in items] + ["xyz" + x + "xyz" for x in items] + ["".join(items), "nothing to see", ""]
+    _, buf, off = next(textbuf.chunks(pa.array(texts)))
+    got = decontaminate.find(block, buf, off)
+    for d, t in enumerate(texts):
+        t = decontaminate._LOWER[np.frombuffer(t.encode(), np.uint8)].tobytes()
+        for i, x in enumerate(block.texts):
+            if x in t:
+                assert any(r[0] == i and r[3] == 0 for r in got.get(d, ())), (d, i)
+    # short items within their edits, against every substring
+    alike = [x[: k - 1] + "~" + x[k:] for x in short[:3] for k in range(1, len(x), 3)] + [x[:k] + "~" + x[k:] + " tail" for x in short[:3] for k in range(0, len(x), 4)]
+    _, buf, off = next(textbuf.chunks(pa.array(alike)))
+    got = decontaminate.find(block, buf, off)
+    for d, t in enumerate(alike):
+        for i, x in enumerate(block.texts[:3]):
+            low = decontaminate._LOWER[np.frombuffer(t.encode(), np.uint8)].tobytes()
+            assert any(r[0] == i for r in got.get(d, ())) == (decontaminate.edit_search(x, low)[0] <= int(decontaminate.EDITS * len(x))), (d, i)
+    # a wide passage with edits
+    edited = "".join("龍" if k % 23 == 5 else c for k, c in enumerate(wide[2]))
+    _, buf, off = next(textbuf.chunks(pa.array([around + edited + around])))
+    assert any(r[0] == items.index(wide[2]) for r in decontaminate.find(block, buf, off).get(0, ()))
+
+
 # ---- 4 near-duplicates
 
 
