@@ -88,7 +88,7 @@ def sync(store: SnapshotStore, units: DataFrame, client: Fetcher, run: Run, opti
     failed = [(k, v["attempts"], v["at"]) for k, v in base["failures"].items()]
     failures = spark.createDataFrame(failed, "id string, attempts int, at string").withColumn("at", F.to_timestamp_ntz("at"))
     plan = sync_plan(units, stored.drop("file"), failures, options).cache()
-    todo = plan.where("fetch").join(units.select("id", "url"), "id").select("partition", "id", "url").orderBy(F.desc("partition"), "id")
+    todo = plan.where("fetch or revalidate").join(units.select("id", "url"), "id").select("partition", "id", "url").orderBy(F.desc("partition"), "id")
     listed = [(r.id, r.url) for r in (todo.limit(run.max_files) if run.max_files is not None else todo).toLocalIterator()]
     inbox = f"{store.root}/_staging/inbox-{uuid.uuid4().hex}"
 

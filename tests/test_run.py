@@ -89,6 +89,17 @@ def test_a_refusal_stops_the_run_and_keeps_what_it_has(spark, tmp_path):
     assert r.stopped.startswith("Blocked") and manifest["listing"] is None and store.read().count() == 1
 
 
+def test_revalidation_notices_changed_bytes(spark, tmp_path):
+    store = SnapshotStore(spark, f"file://{tmp_path}/s")
+    site = Site({f"https://h/{i}": b"%PDF-" + i.encode() for i in "ab"})
+    rows = [("a", "OT1", "A"), ("b", "OT2", "B")]
+    run(store, spark, site, rows, "2026-09-01T00:00:00")
+    site.pages["https://h/a"] = b"%PDF-new"
+    counts, _, got = run(store, spark, site, rows, "2026-09-02T00:00:00", revalidate_all=True)
+    assert (counts["replaced"], counts["unchanged"]) == (1, 1) and got["a"].text == "%PDF-new\f"
+    assert got["b"].checked_at == "2026-09-02T00:00:00" and got["b"].fetched_at == "2026-09-01T00:00:00"
+
+
 def test_lease():
     held = {"writer": {"by": "other", "at": "x"}}
     assert lease_of(held, "me", 10) and not lease_of(held, "me", 50) and not lease_of(held, "other", 10) and not lease_of({}, "me", None)
