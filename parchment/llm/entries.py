@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parchment.llm import decontaminate, language_id, media, minhash, packing, pii, secrets, suffix_dedup, toxicity, warc
 from parchment.llm.common import crc_mod, small_batches, table
+from parchment.llm.span_sql import PII, SECRETS
 from parchment.llm.spans import digest
 
 
@@ -61,21 +62,21 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-def _counted(found: DataFrame, spans: str, base: tuple[str, ...]) -> DataFrame:
-    """The digest columns of the span operators."""
+def _counted(found: DataFrame, spans: str, base: tuple[str, ...], *more: Column) -> DataFrame:
+    """The digest columns of the span operators, and more."""
     of = lambda k: F.size(F.filter(spans, lambda s: s["kind"] == k)).cast("long")
     strong = F.filter(spans, lambda s: s["kind"].isin(*base))
-    return found.select("doc_id", *(of(k).alias(f"n_{k}") for k in base), F.sha2(digest(strong), 256).alias("base_sha256"), digest(F.col(spans)).alias("spans"))
+    return found.select("doc_id", *(of(k).alias(f"n_{k}") for k in base), F.sha2(digest(strong), 256).alias("base_sha256"), digest(F.col(spans)).alias("spans"), *more)
 
 
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return _counted(secrets.with_spans(docs, out="found").drop("text"), "found", secrets.BASE_KINDS)
+    return _counted(secrets.with_spans(docs, out="found").drop("text"), "found", secrets.BASE_KINDS, F.size(F.filter("found", lambda s: s["linked"])).cast("long").alias("n_linked"))
 
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return _counted(pii.with_spans(docs, out="found").drop("text"), "found", pii.KINDS[:4])
+    return _counted(pii.with_spans(docs, out="found").drop("text"), "found", pii.BASE_KINDS, F.array_join(F.transform("found", lambda s: s["score"].cast("string")), ",").alias("scores"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -116,4 +117,6 @@ select page_id, payload_bytes, {_BASE32} payload_digest,
        case when last_id is not null and page_id is distinct from last_id then 'revisit' else 'response' end record_type,
        case when last_id is not null and page_id is distinct from last_id then last_id end refers_to
 from r""",
+    "op9_secret_scan": SECRETS,
+    "op10_pii": PII,
 }
