@@ -227,6 +227,57 @@ def test_short_items_and_scripts_without_spaces_are_found():
     assert any(r[0] == items.index(wide[2]) for r in decontaminate.find(block, buf, off).get(0, ()))
 
 
+def edited_bytes(rng, x, n):
+    s = bytearray(x)
+    for _ in range(n):
+        at = rng.randrange(len(s))
+        s[at : at + 1] = rng.choice((b"", bytes([rng.choice(b"abc ")]), bytes([s[at], rng.choice(b"abc ")])))
+    return bytes(s)
+
+
+@pytest.mark.parametrize("kind", ["spaced", "unspaced", "wide", "short", "long"])
+def test_recall_by_kind_of_item_inside_longer_runs(kind):
+    rng = random.Random(kind)
+    letters, wide = "abcdefghijklmnopqrstuvwxyz", [chr(0x4E00 + i) for i in range(2000)]
+    words = ["".join(rng.choice(letters) for _ in range(rng.randrange(2, 9))) for _ in range(400)]
+    spaced = lambda n: " ".join(rng.choice(words) for _ in range(n))[:n]
+    make = {
+        "spaced": lambda: spaced(rng.randrange(80, 400)), "unspaced": lambda: "".join(rng.choice(letters) for _ in range(120)), "wide": lambda: "".join(rng.choice(wide) for _ in range(40)),
+        "short": lambda: spaced(rng.randrange(20, 41)), "long": lambda: spaced(2000),
+    }[kind]
+    items = [make().encode() for _ in range(20 if kind == "long" else 100)]
+    block = decontaminate.Items(list(range(len(items))), items)
+    for share, least in ((0, 1), (decontaminate.EDITS, 0.95)):
+        made = [make().encode() + edited_bytes(rng, x, int(share * len(x))) + make().encode() for x in items]
+        buf, off = np.frombuffer(b"".join(made), np.uint8), np.concatenate(([0], np.cumsum([len(x) for x in made]))).astype(np.int64)
+        got = decontaminate.find(block, buf, off)
+        assert np.mean([any(r[0] == i for r in got.get(i, ())) for i in range(len(items))]) >= least
+
+
+def test_matches_against_every_window(monkeypatch):
+    """An item is found exactly where some substring is within its edits, and with that distance or more."""
+    rng = random.Random(31)
+    items = [bytes(rng.choice(b"abcd ") for _ in range(rng.randrange(2, 60))) for _ in range(40)]
+    block = decontaminate.Items(list(range(len(items))), items)
+    texts = [b"".join(edited_bytes(rng, x, rng.randrange(4)) + bytes(rng.choice(b"abcd ") for _ in range(rng.randrange(30))) for x in rng.sample(items, 3)) for _ in range(60)] + [b"a" * 3000, b""]
+    buf, off = np.frombuffer(b"".join(texts), np.uint8), np.concatenate(([0], np.cumsum([len(x) for x in texts]))).astype(np.int64)
+    got = decontaminate.find(block, buf, off)
+    low = lambda x: decontaminate._LOWER[np.frombuffer(x, np.uint8)].tobytes()
+    missed = total = 0
+    for d, t in enumerate(texts):
+        for i, x in enumerate(block.texts):
+            best = decontaminate.edit_search(x, low(t))[0]
+            there = [r for r in got.get(d, ()) if r[0] == i]
+            assert all(best <= r[3] <= decontaminate.allowed(len(x)) and levenshtein(x, low(t)[r[1] : r[2]]) == r[3] for r in there)
+            total += best <= decontaminate.allowed(len(x))
+            missed += best <= decontaminate.allowed(len(x)) and not there
+    assert total > 100 and missed <= 0.01 * total
+    monkeypatch.setattr(decontaminate, "HITS_AT_ONCE", 40)
+    monkeypatch.setattr(decontaminate, "EMBEDDED_AT_ONCE", 5000)
+    few = decontaminate.find(block, buf, off)
+    assert {(d, r[0]) for d, x in got.items() for r in x} == {(d, r[0]) for d, x in few.items() for r in x}
+
+
 # ---- 4 near-duplicates
 
 
