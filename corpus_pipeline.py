@@ -10,29 +10,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parchment.llm import decontaminate, language_id, minhash, packing, secrets
-from parchment.llm.common import cut, fresh, small_batches
+from parchment.llm.common import discard, final, fresh
 from parchment.llm.entries import vocabulary
+from parchment.session import ship
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a known language, which becomes their lang; those without one (no letters) go."""
-    small_batches(spark)
     guess, score = fresh(docs, "__lang"), fresh(docs, "__lang_score")
     named = language_id.identify(docs, language_id.learn_profiles(docs), lang_out=guess, score_out=score)
     return named.where(F.col(guess) != language_id.UNKNOWN).withColumn("lang", F.col(guess)).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates: the one with the least id.  Rows without an id stay."""
-    small_batches(spark)
-    found = minhash.classes(docs)
-    gone = found.where("doc_id <> class_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each class of near-duplicates: of the least id and, where rows repeat it, the least row by digest.
+
+    Rows without an id stay, one of each text.
+    """
+    keys = [fresh(docs, x) for x in ("__id", "__no_id", "__row")]
+    named = [F.coalesce("doc_id", F.lit(0)).alias(keys[0]), F.col("doc_id").isNull().alias(keys[1])]
+    kept = minhash.classified(docs.select("doc_id", "text")).where("first and class_id <=> doc_id").select(*named, F.col("h").alias(keys[2])).distinct()
+    own = docs.select("*", *named, F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias(keys[2]))
+    # rows that repeat an id and a text: one stays, whatever their other columns; the join needs no other exchange
+    return own.dropDuplicates(keys).join(kept, keys, "left_semi").select(*docs.columns)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark passage."""
-    small_batches(spark)
     return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(*docs.columns)
 
 
@@ -44,7 +48,6 @@ def secret_masks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packed sequences: one row for each piece of a document."""
-    small_batches(spark)
     return packing.pack(docs, *vocabulary())
 
 
@@ -55,7 +58,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The stages one after another; what a stage wrote is deleted when the next has read it."""
+    ship(spark)
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        docs = cut(stage(spark, docs, sf_dir), f"stage-{name}")
+        docs = final(lambda docs=docs, stage=stage: stage(spark, docs, sf_dir), f"stage-{name}")
+        discard(before)
+        before = docs
     return docs

@@ -8,6 +8,7 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,13 +28,14 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 _made: list[tuple[SparkSession, str]] = []
+_registered: list[Callable] = []
 
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder; it goes when the driver ends."""
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    if not _made:
-        atexit.register(_clean)
+    if not _registered:
+        _registered.append(atexit.register(_clean))
     _made.append((spark, path))
     return path
 
@@ -51,7 +53,33 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     """df written to the shared folder and read again: lineage ends there, lost executors cost nothing before it."""
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def written(df: DataFrame) -> str | None:
+    """The scratch path that cut() gave a table."""
+    return getattr(df, "_scratch_path", None)
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Delete tables of cut() that nothing will read again."""
+    for df in tables:
+        path = df is not None and written(df)
+        if path:
+            drop_path(df.sparkSession, path)
+            _made[:] = [x for x in _made if x[1] != path]
+
+
+def final(build: Callable[[], DataFrame], name: str) -> DataFrame:
+    """build()'s rows, written; the scratch tables that making them took are deleted."""
+    before = {path for _, path in _made}
+    out = cut(build(), name)
+    for spark, path in [x for x in _made if x[1] not in before and x[1] != written(out)]:
+        drop_path(spark, path)
+        _made.remove((spark, path))
+    return out
 
 
 def drop_path(spark: SparkSession, path: str) -> None:
@@ -60,11 +88,6 @@ def drop_path(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
-def small_batches(spark: SparkSession, most: str = "8m") -> None:
-    """Bound the text that goes to Python at once; a record count alone doesn't, as texts may be long."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", most)
-
-
 def tasks_for(n_bytes: int, per_task: int = TASK_BYTES, least: int = 1) -> int:
     """Number of partitions for so many bytes."""
     return max(least, -(-int(n_bytes or 0) // per_task))

@@ -7,9 +7,10 @@ and stop as soon as every component has one, so long texts cost little more than
 equal components estimates the probability Jaccard similarity; bands of the signature propose pairs, and the
 exact similarity of the two texts confirms them.
 
-Links.  Equal texts are one class from the start and enter as their least id.  In a band's bucket no pairs are
-emitted.  First every member is compared with the bucket's least id.  Buckets whose members then are in one
-component are done.  In the others, members of different components are compared block by block inside tasks,
+Links.  Equal texts are one vertex from the start, whatever their ids.  In a band's bucket no pairs are
+emitted.  First every member is compared with the bucket's first vertex.  Buckets whose members then are in one
+component are done.  Of the others, those too large for a task are compared with a member of another component, for
+some rounds.  In what is left, members of different components are compared block by block inside tasks,
 each block keeping track of what it has joined, and only links that join two components come out.  So every two
 texts that share a band are either in one component or compared, exactly.
 
@@ -17,7 +18,7 @@ Words are runs of letters, digits and characters outside ASCII, without case.
 
 Edge cases.  A text of one to four words is one shingle; a null, empty or wordless text is in a class only with
 equal texts (null counts as empty).  Rows with a null id are returned with a null class and take no part.  Rows
-that repeat an id with different texts fall in the classes of each text.  The class id is the least id of the
+that repeat an id with different texts fall in the class of their own text.  The class id is the least id of the
 class, so ties and partitioning don't matter.  An empty table gives an empty result.
 """
 
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parchment.llm.common import cut
+from parchment.llm.common import cut, discard
 from parchment.llm.components import components
 from parchment.llm.textbuf import U64, chunks, mix, prefix_hash, run_starts, span_hash, words
 
@@ -41,6 +42,10 @@ COMPONENTS = BANDS * ROWS
 SIGNED_AT_ONCE = 1000
 #: Bytes of text of one bucket's members that a task compares with as many others, or with the least id.
 BLOCK_BYTES = 4 << 20
+#: What a row weighs besides its text, so that short texts don't crowd a task.
+ROW_BYTES = 2048
+#: Linear rounds over buckets of more than a block, before what is left is compared pair by pair.
+ROUNDS = 3
 _GOLD = U64(0x9E3779B97F4A7C15)
 _ID_BITS = 16
 
@@ -211,7 +216,7 @@ def _star(threshold: float):
     """Some members of a bucket and its least id -> links with that."""
 
     def run(table: pa.Table) -> pa.Table:
-        ids, hubs = table.column("rep").to_numpy(), table.column("hub").to_numpy()
+        ids, hubs = table.column("v").to_numpy(), table.column("hub").to_numpy()
         near = Sets(table.column("elements").to_pylist(), table.column("weights").to_pylist())
         at = np.flatnonzero(ids == hubs)
         if not len(at):
@@ -226,7 +231,7 @@ def _cross(threshold: float):
     """Two blocks of a bucket (or one) -> links that join components which nothing joined yet."""
 
     def run(table: pa.Table) -> pa.Table:
-        ids, root, block = (table.column(c).to_numpy().copy() for c in ("rep", "comp", "block"))
+        ids, root, block = (table.column(c).to_numpy().copy() for c in ("v", "comp", "block"))
         if len(ids) < 2 or (root == root[0]).all():
             return _links([], [])
         x, y = table.column("x")[0].as_py(), table.column("y")[0].as_py()
@@ -247,37 +252,68 @@ def _cross(threshold: float):
     return run
 
 
+def _starred(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """pairs (hub, v, size) -> links between hubs and members; a star is dealt to as many tasks as it fills."""
+    share = pairs.groupBy("hub").agg(F.ceil(F.sum("size") / BLOCK_BYTES).cast("int").alias("shares"))
+    hubs = share.select("hub", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), F.col("hub").alias("v"))
+    dealt = pairs.join(share, "hub").select("hub", F.pmod(F.xxhash64("v"), F.col("shares")).cast("int").alias("share"), "v").union(hubs)
+    return cut(dealt.join(sets, "v").groupBy("hub", "share").applyInArrow(_star(threshold), "a long, b long"), "links")
+
+
+def _open_buckets(members: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(members with their components, buckets that aren't one component); a bucket of two has been compared."""
+    found = members.join(labels.withColumnRenamed("id", "v"), "v", "left").select("band", "v", "size", F.coalesce("comp", "v").alias("comp"))
+    sums = found.groupBy("band").agg(F.count("v").alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high"), F.ceil(F.sum("size") / BLOCK_BYTES).cast("int").alias("blocks"))
+    return found, sums.where("low <> high and n > 2").select("band", "high", "blocks")
+
+
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, rep_id, class_id) of every row: the least id with an equal text, and the least id of the class."""
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    return classified(docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")), threshold).select("doc_id", "rep_id", "class_id")
+
+
+def classified(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """rows (doc_id, text) -> (doc_id, h, rep_id, class_id, first): h is the text's digest, and first tells the
+    text that stands for the class: the least digest among those of the class's least id."""
+    rows = rows.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     own = rows.where("doc_id is not null")
     digest = F.unhex(F.md5("text")).alias("h")
-    # equal texts are one representative; each task sends one row of a text
-    signed = own.select("doc_id", digest, F.octet_length("text").cast("long").alias("size"), F.arrow_udf(_band_keys, "array<long>")("text").alias("bands"))
-    reps = cut(signed.groupBy("h").agg(F.min("doc_id").alias("rep"), F.first("size").alias("size"), F.first("bands").alias("bands")), "reps")
-    keys = reps.select("rep", "size", F.explode("bands").alias("band"))
-    shared = keys.groupBy("band").agg(F.min("rep").alias("hub"), F.max("rep").alias("last")).where("hub <> last").select("band", "hub")
+    # equal texts are one vertex; each task sends one row of a text.  Its number is made once, as the table is written
+    signed = own.select("doc_id", digest, (F.octet_length("text") + ROW_BYTES).cast("long").alias("size"), F.arrow_udf(_band_keys, "array<long>")("text").alias("bands"))
+    reps = signed.groupBy("h").agg(F.min("doc_id").alias("rep"), F.first("size").alias("size"), F.first("bands").alias("bands"))
+    reps = cut(reps.withColumn("v", F.monotonically_increasing_id()), "reps")
+    keys = reps.select("v", "size", F.explode("bands").alias("band"))
+    shared = keys.groupBy("band").agg(F.min("v").alias("hub"), F.max("v").alias("last")).where("hub <> last").select("band", "hub")
     members = cut(keys.join(shared, "band"), "members")
     # the texts that may be compared, once; the other texts are read no more
-    wanted = own.join(members.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    sets = wanted.select(F.col("doc_id").alias("rep"), F.arrow_udf(_packed_sets, "elements binary, weights binary")("text").alias("s"))
-    sets = cut(sets.select("rep", "s.*").where(F.length("elements") > 0).dropDuplicates(["rep"]), "sets")
+    wanted = reps.join(members.select("v").distinct(), "v", "left_semi").select("v", F.col("rep").alias("doc_id"), "h")
+    sets = own.select("doc_id", "text", digest).join(wanted, ["doc_id", "h"]).select("v", F.arrow_udf(_packed_sets, "elements binary, weights binary")("text").alias("s"))
+    sets = cut(sets.select("v", "s.*").where(F.length("elements") > 0).dropDuplicates(["v"]), "sets")
 
-    pairs = members.where("rep <> hub").select("hub", "rep", "size").distinct()
-    share = pairs.groupBy("hub").agg(F.ceil(F.sum("size") / BLOCK_BYTES).cast("int").alias("shares"))
-    hubs = share.select("hub", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), F.col("hub").alias("rep"))
-    dealt = pairs.join(share, "hub").select("hub", F.pmod(F.xxhash64("rep"), F.col("shares")).cast("int").alias("share"), "rep").union(hubs)
-    links = cut(dealt.join(sets, "rep").groupBy("hub", "share").applyInArrow(_star(threshold), "a long, b long"), "links")
+    links = _starred(members.where("v <> hub").select("hub", "v", "size").distinct(), sets, threshold)
     labels = components(links)
-
-    found = members.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("band", "rep", "size", F.coalesce("comp", "rep").alias("comp"))
-    split = found.groupBy("band").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.ceil(F.sum("size") / BLOCK_BYTES).cast("int").alias("blocks")).where("low <> high").select("band", "blocks")
-    parts = found.join(split, "band").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    parts = parts.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("band", "rep", "comp", "block", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))
-    more = parts.join(sets, "rep").groupBy("band", "x", "y").applyInArrow(_cross(threshold), "a long, b long").distinct()
-    more = cut(more, "links")
+    for _ in range(ROUNDS):  # buckets of more than a block meet a member of another component before they meet themselves
+        found, still = _open_buckets(members, labels)
+        large = still.where("blocks > 1")
+        if large.isEmpty():
+            break
+        parts = found.join(large, "band")
+        hubs = parts.where("comp = high").groupBy("band").agg(F.min("v").alias("hub"))
+        more = _starred(parts.where("comp <> high").join(hubs, "band").select("hub", "v", "size").distinct(), sets, threshold)
+        if more.isEmpty():
+            break
+        links, labels = links.union(more), components(links.union(more))
+    found, split = _open_buckets(members, labels)
+    parts = found.join(split, "band").withColumn("block", F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int"))
+    parts = parts.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("band", "v", "comp", "block", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))
+    more = cut(parts.join(sets, "v").groupBy("band", "x", "y").applyInArrow(_cross(threshold), "a long, b long").distinct(), "links")
     if not more.isEmpty():
         labels = components(links.union(more))
-    named = own.select("doc_id", digest).join(reps.select("h", "rep"), "h").join(labels.withColumnRenamed("id", "rep"), "rep", "left")
-    out = named.select("doc_id", F.col("rep").alias("rep_id"), F.coalesce("comp", "rep").alias("class_id"))
-    return out.unionByName(rows.where("doc_id is null").select("doc_id", F.lit(None).cast("long").alias("rep_id"), F.lit(None).cast("long").alias("class_id")))
+    discard(members, sets, more)
+    # a class is named by its texts' least id, and stands for itself by the least digest of that id
+    named = reps.select("h", "rep", "v").join(labels.withColumnRenamed("id", "v"), "v", "left").select("h", "rep", F.coalesce("comp", "v").alias("comp"))
+    least = named.groupBy("comp").agg(F.min(F.struct("rep", "h")).alias("least"))
+    classed = named.join(least, "comp").select("h", F.col("rep").alias("rep_id"), F.col("least.rep").alias("class_id"), (F.col("least.h") == F.col("h")).alias("first"))
+    out = own.select("doc_id", digest).join(classed, "h")
+    null = F.lit(None).cast("long")
+    return out.select("doc_id", "h", "rep_id", "class_id", "first").unionByName(rows.where("doc_id is null").select("doc_id", digest, null.alias("rep_id"), null.alias("class_id"), F.lit(True).alias("first")))

@@ -350,6 +350,40 @@ def test_classes_against_all_pairs(spark, monkeypatch, block):
     assert got == brute_classes(rows)
 
 
+def test_texts_that_share_an_id_keep_their_own_links(spark):
+    rng = random.Random(17)
+    rows, want = [], {}
+    for g in range(30):  # two texts under one id, each with a near copy under another
+        a, b = (" ".join(f"g{g}{x}{rng.randrange(10**6)}" for _ in range(60)) for x in "ab")
+        rows += [(g, a), (g, b), (1000 + g, a + " more"), (2000 + g, b + " more")]
+        want |= {1000 + g: g, 2000 + g: g}
+    rows += [(0, rows[0][1]), (5000, None), (5000, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = minhash.classes(df).collect()
+    assert len(got) == len(rows) and all(r.class_id == want.get(r.doc_id, r.doc_id) for r in got)
+    own = minhash.classified(df).join(df.select("doc_id", F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("h"), "text").distinct(), ["doc_id", "h"])
+    per_class = own.where("first").select("class_id", "h").distinct().groupBy("class_id").count().where("count > 1").count()
+    # the two texts of an id are two classes of one name, and one of them stands for the name only if it is the class's own
+    assert per_class == 30
+
+
+def test_links_of_each_band_of_similarity(spark):
+    """All pairs at or above the threshold are linked; the share is reported by how similar they are."""
+    rng = random.Random(18)
+    rows, pairs = [], []
+    for i in range(400):
+        words = [f"w{i}x{rng.randrange(10**6)}" for _ in range(200)]
+        other = list(words)
+        for at in rng.sample(range(200), rng.randrange(1, 6)):
+            other[at] = "changed"
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(other))]
+        pairs.append((2 * i, 2 * i + 1, jp(shingle_weights(rows[-2][1]), shingle_weights(rows[-1][1]))))
+    got = {r.doc_id: r.class_id for r in minhash.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    linked = lambda low, high: [got[a] == got[b] for a, b, s in pairs if low <= s < high]
+    assert all(not any(linked(*x)) for x in ((0, 0.7), (0.7, 0.8))) and len(linked(0.8, 0.9)) > 50
+    assert np.mean(linked(0.8, 0.9)) >= 0.99 and all(linked(0.9, 1.1))
+
+
 def test_class_edges(spark):
     got = sorted(((r.doc_id, r.class_id) for r in minhash.classes(hard(spark)).collect()), key=str)
     assert got == sorted([(1, 1), (2, 1), (3, 3), (4, 4), (5, 5), (6, 5), (6, 5), (7, 7), (8, 8), (None, None), (9, 9), (10, 10), (11, 11)], key=str)
