@@ -10,11 +10,16 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+BATCH_BYTES = "8m"
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors once an application, so that their Python can import it."""
+    """Ready a session for this package: executors' Python can import it, and Python gets bounded batches.
+
+    A record count doesn't bound a batch, as texts may be long.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
