@@ -15,11 +15,16 @@ from parchment.llm.entries import vocabulary
 from parchment.session import ship
 
 
+#: Share of the longest possible out-of-place distance beyond which a text is in none of the languages.
+FAR = 0.99
+
+
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a known language, which becomes their lang; those without one (no letters) go."""
-    guess, score = fresh(docs, "__lang"), fresh(docs, "__lang_score")
-    named = language_id.identify(docs, language_id.learn_profiles(docs), lang_out=guess, score_out=score)
-    return named.where(F.col(guess) != language_id.UNKNOWN).withColumn("lang", F.col(guess)).select(*docs.columns)
+    """Documents in a known language, which becomes their lang.  Those without letters go, and those that share next to
+    no n-gram with any language's profile."""
+    guess, score, distance = fresh(docs, "__lang"), fresh(docs, "__lang_score"), fresh(docs, "__lang_distance")
+    named = language_id.identify(docs, language_id.learn_profiles(docs), lang_out=guess, score_out=score, distance_out=distance)
+    return named.where((F.col(guess) != language_id.UNKNOWN) & (F.col(distance) <= FAR)).withColumn("lang", F.col(guess)).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

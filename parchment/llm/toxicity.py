@@ -17,14 +17,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parchment.llm.textbuf import U64, chunks, mix, prefix_hash, run_starts, span_hash, words
 
 SLOTS_LOG2 = 20
-#: Bound of the training sample: so many labelled documents at most, those with the least hash of doc_id.
-SAMPLE_ROWS = 16_000
+#: Bounds of the training sample: so many labelled documents at most, those with the least hash of doc_id, as long as their
+#: texts together have so many bytes at most.
+SAMPLE_ROWS, SAMPLE_BYTES = 16_000, 128 << 20
 ALPHA, BETA, L1, L2, EPOCHS = 2.0, 1.0, 3.0, 1e-4, 8
 
 
@@ -88,15 +89,19 @@ def ftrl(rows: list[tuple[np.ndarray, float]], epochs: int = EPOCHS, alpha: floa
     return at, weights(at), bias
 
 
-def train_joined(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "label", key: str = "doc_id", max_rows: int = SAMPLE_ROWS) -> tuple[np.ndarray, np.ndarray, float]:
-    """Learn from at most max_rows documents that labels (key, label) covers; updates are sequential, so they run in one task.
+def train_joined(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "label", key: str = "doc_id", max_rows: int = SAMPLE_ROWS, max_bytes: int = SAMPLE_BYTES) -> tuple[np.ndarray, np.ndarray, float]:
+    """Learn from documents that labels (key, label) covers, max_rows and max_bytes at most; updates are sequential, so they run in one task.
 
-    A document with several labels counts with the largest; labels of no document are ignored.
+    A document with several labels counts with the largest; labels of no document are ignored; equal rows count once.
     """
     ids = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(F.col(key).alias("k")).agg(F.max(F.col(label).cast("double")).alias("y"))
     ids = ids.orderBy(F.xxhash64("k"), "k").limit(max_rows)
-    texts = docs.select(F.col(key).alias("k"), F.col(text).alias("t"))
-    sample = texts.join(F.broadcast(ids), "k")  # max_rows ids at most
+    texts = docs.select(F.col(key).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t")).withColumn("h", F.xxhash64("t"))
+    order = [F.xxhash64("k"), F.col("k"), F.col("h")]
+    rows = texts.join(F.broadcast(ids), "k").select("k", "h", "y", F.octet_length("t").alias("size")).distinct().orderBy(*order).limit(max_rows)
+    # max_rows narrow rows in one task
+    chosen = rows.withColumn("upto", F.sum("size").over(Window.orderBy(*order))).where(F.col("upto") <= max_bytes).select("k", "h", "y")
+    sample = texts.join(F.broadcast(chosen), ["k", "h"]).dropDuplicates(["k", "h"])
     ready = sample.select("k", "y", F.arrow_udf(features, "array<int>")("t").alias("x")).repartition(1)
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

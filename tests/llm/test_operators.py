@@ -59,12 +59,53 @@ def test_words_and_hashes():
 # ---- 1 language
 
 
-def test_language_counts_are_exact():
-    text = "Ab, ab!"
-    _, buf, off = next(textbuf.chunks(pa.array([text, "b"]), lower=True))
-    doc, code, n = language_id.gram_counts(buf, off)
-    got = {(d, code_.to_bytes(3, "big").lstrip(b"\0").decode()): c for d, code_, c in zip(doc.tolist(), code.tolist(), n.tolist(), strict=True)}
-    assert got == {(0, "a"): 2, (0, "b"): 2, (0, " a"): 2, (0, "ab"): 2, (0, "b "): 2, (0, " ab"): 2, (0, "ab "): 2, (1, "b"): 1, (1, " b"): 1, (1, "b "): 1, (1, " b "): 1}
+def plain_grams(text):
+    """Counts of the n-grams of a text, one by one."""
+    words = re.findall(r"[^\W\d_]+", "".join(c if c.isalpha() else " " for c in (text or "").lower()))
+    padded = [f" {w} " for w in words]
+    return Counter(p[i : i + n] for p in padded for n in range(1, language_id.LONGEST + 1) for i in range(len(p) - n + 1) if p[i : i + n].strip())
+
+
+def plain_ranks(counts):
+    ordered = sorted(counts, key=lambda g: (-counts[g], language_id.code_of(g)))[: language_id.PROFILE_SIZE]
+    return {g: i for i, g in enumerate(ordered)}
+
+
+def test_language_against_plain_profiles(spark, monkeypatch):
+    rows = [(r.doc_id, r.text, r.lang) for r in documents(spark).collect()] + [(900 + i, t, None) for i, t in enumerate(["我们在这里 看到了 ß", "Ünïcode ÉCOLE été", "a", "1 2 3", "", None, "x" * 3000])]
+    counts = {}
+    for _, t, lang in rows:
+        if lang:
+            counts.setdefault(lang, Counter()).update(plain_grams(t))
+    profiles = {x: plain_ranks(c) for x, c in counts.items()}
+    size = language_id.PROFILE_SIZE
+
+    def expected(t):
+        own = plain_ranks(plain_grams(t))
+        if not own:
+            return "und", 0.0
+        far = {x: sum(min(abs(i - p[g]), size) if g in p else size for g, i in own.items()) for x, p in profiles.items()}
+        a, b = sorted(far.values())[:2]
+        return min(sorted(far), key=far.get), 1 - a / b
+
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    learned = language_id.learn_profiles(docs)
+    assert learned == {x: [language_id.code_of(g) for g in p] for x, p in profiles.items()}
+    for part in (language_id.PART_BYTES, 500):  # whole texts, and texts read in parts
+        monkeypatch.setattr(language_id, "PART_BYTES", part)
+        texts = pa.array([t for _, t, _ in rows], pa.string())
+        got = next(language_id.classifier(learned)(iter([texts]))).to_pylist()
+        for (_, t, _), g in zip(rows, got, strict=True):
+            want = expected(t)
+            assert g["lang"] == want[0] and g["score"] == pytest.approx(want[1], abs=1e-9), t
+
+
+def test_the_language_sample_counts_equal_rows_once(spark):
+    rows = [(1, "alpha beta", "en")] * 50 + [(i, f"wort {i}", "de") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    few = language_id.learn_profiles(docs, per_language=5)
+    assert few["en"] == language_id.learn_profiles(docs.limit(1))["en"]
+    assert len(few["de"]) < len(language_id.learn_profiles(docs)["de"]) + 1
 
 
 def test_language_on_held_out_documents(spark):
@@ -79,7 +120,7 @@ def test_language_on_held_out_documents(spark):
 def test_language_edges(spark):
     profiles = language_id.learn_profiles(documents(spark))
     got = language_id.identify(hard(spark), profiles).collect()
-    assert len(got) == len(HARD) and got[0].__fields__ == ["doc_id", "text", "lang_pred", "score"]
+    assert len(got) == len(HARD) and got[0].__fields__ == ["doc_id", "text", "lang_pred", "score", "distance"]
     assert {r.doc_id for r in got if r.lang_pred == "und"} == {1, 2, 7, 9, 10}
     assert language_id.identify(empty(spark), profiles).count() == 0
     assert {r.lang_pred for r in language_id.identify(hard(spark), {}).collect()} == {"und"}
@@ -108,6 +149,39 @@ def test_ftrl_learns_and_stays_sparse():
     assert all((p(x) >= 0.3) == (y == 1) for x, y in rows)
 
 
+def test_ftrl_against_a_plain_loop():
+    """The update rule, one coordinate at a time."""
+    rng = np.random.default_rng(2)
+    rows = [(np.unique(rng.integers(0, 50, 8)), float(rng.random() < 0.4)) for _ in range(60)]
+    alpha, beta, l1, l2 = 0.5, 1.0, 0.3, 0.01
+    rate = sum(y for _, y in rows) / len(rows)
+    z, n, bias, bias_n = {}, {}, np.log(rate / (1 - rate)), 0.0
+
+    def weight(i):
+        own = z.get(i, 0.0)
+        return 0.0 if abs(own) <= l1 else -(own - np.sign(own) * l1) / ((beta + n.get(i, 0.0) ** 0.5) / alpha + l2)
+
+    for _ in range(3):
+        for x, y in rows:
+            g = 1 / (1 + np.exp(-(sum(map(weight, x.tolist())) + bias))) - y
+            for i in x.tolist():
+                old = n.get(i, 0.0)
+                z[i] = z.get(i, 0.0) + g - ((old + g * g) ** 0.5 - old**0.5) / alpha * weight(i)
+                n[i] = old + g * g
+            bias_n += g * g
+            bias -= alpha / (beta + bias_n**0.5) * g
+    at, w, b = toxicity.ftrl(rows, 3, alpha, beta, l1, l2)
+    assert b == pytest.approx(bias) and {i for i in z if weight(i)} == set(at.tolist())
+    assert all(x == pytest.approx(weight(i)) for i, x in zip(at.tolist(), w.tolist(), strict=True))
+
+
+def test_the_toxicity_sample_is_bounded_by_rows_and_bytes(spark):
+    docs = spark.createDataFrame([(i, f"word{i} " * 50) for i in range(40)] + [(7, "word7 " * 50)] * 30, "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("label")).distinct()
+    whole, few = toxicity.train_joined(docs, labels), toxicity.train_joined(docs, labels, max_bytes=4000)
+    assert 0 < len(few[0]) < len(whole[0]) and len(toxicity.train_joined(docs, labels, max_bytes=10)[0]) == 0
+
+
 def test_toxicity_on_held_out_documents(spark):
     sf = "/root/testdata/sf0.1"
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet").withColumnRenamed("toxic", "label")
