@@ -191,7 +191,8 @@ def classifier(profiles: dict[str, list[int]], size: int = PROFILE_SIZE):
 
 def identify(docs: DataFrame, profiles: dict[str, list[int]], text: str = "text", lang_out: str = "lang_pred", score_out: str = "score", distance_out: str = "distance") -> DataFrame:
     """docs with lang_out, score_out and distance_out (0 to 1) added; texts leave the JVM once and don't come back."""
-    guess: Column = F.arrow_udf(classifier(profiles), "lang string, score double, distance double")(F.col(text))
+    # a filter on the outputs would be pushed below and run the function again, if it might
+    guess: Column = F.arrow_udf(classifier(profiles), "lang string, score double, distance double").asNondeterministic()(F.col(text))
     outs = (lang_out, score_out, distance_out)
     kept = [F.col(c) for c in docs.columns if c.lower() not in {x.lower() for x in outs}]
     tmp = fresh(docs, "__language")

@@ -1,15 +1,19 @@
 """Lexical retrieval packing: windows of related documents, with no padding.
 
-Documents are dealt to shards of bounded size.  A shard builds a BM25 inverted index of its documents; the
-statistics that BM25 weighs terms with (document frequencies, mean length) are of all documents.  A seed
-document opens a window; the index returns its best unused neighbours, which fill the window greedily, the last
-one being cut at the window's end and opening the next window with its rest.  Without a neighbour that shares a
-term, the next unused document follows.  The rest of a shard's last window is cut into sequences whose lengths
-are powers of two, which need no padding, so no shard pads at all.
+Documents are dealt to shards of bounded size by what they say.  CLUSTERS centroids, fitted on a bounded sample, name a
+document's subject; within a subject documents are ordered by their heaviest term among those that another document
+has, and cut into shards by bytes at sampled splitters.  So related documents and copies meet in a shard, and a group
+too large for one is split.  This steers where documents meet, never what is packed; it is integer arithmetic, so a
+task that runs again deals as before.
 
-Terms are words without case, hashed into 2**18 slots.  A document's query is all of its terms that another
-document of its shard has; bounds save work and never change the ranking.  Neighbours come from the seed's shard
-only.
+A shard builds a BM25 inverted index of its documents; the statistics that BM25 weighs terms with (document
+frequencies, mean length) are of all documents.  A seed document opens a window; the index returns its best unused
+neighbours over all of its terms, which fill the window greedily, the last one being cut at the window's end and opening
+the next window with its rest.  Without a neighbour that shares a term, the next unused document follows.  The rest of
+a shard's last window is cut into sequences whose lengths are powers of two, which need no padding, so no shard pads.
+
+Terms are words without case, hashed into 2**18 slots.  Neighbours come from the seed's shard only; the README has what
+share of the whole corpus's best ones that is.
 
 Edge cases.  A null or empty text is the single end id.  A null id is kept; its row sorts first.  Rows that
 repeat an id are separate documents; ties in score go to the earlier row by id, then by text.  An empty table
@@ -28,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parchment.llm.common import tasks_for
-from parchment.llm.textbuf import U64, chunks, prefix_hash, run_starts, span_hash, words
+from parchment.llm.textbuf import U64, chunks, mix, prefix_hash, run_starts, span_hash, words
 from parchment.llm.tokens import Encoder
 
 WINDOW = 2048
@@ -36,10 +40,14 @@ END_ID = 1
 SLOTS_LOG2 = 18
 SLICE = 1 << 12
 SHARD_BYTES = 8 << 20
-#: How many of a seed's terms are scored: all.
-QUERY_TERMS = None
 #: Neighbours that are found at first; a window takes few, and more are ranked when it asks.
 FIRST = 16
+#: Subjects, dimensions of the vectors that they are told by, and documents that their centroids are fitted on.
+CLUSTERS, DIMENSIONS, FIT_ROWS = 64, 512, 4096
+#: Documents whose place in the order is collected for splitters, and ranges that splitters cut at most.
+SPLIT_ROWS, RANGES = 50_000, 4096
+#: Bits of an order key below the subject: heaviest term, hash of the row, and a salt that splits equal rows.
+HASH_BITS, SALT_BITS = 28, 10
 K1, B = 1.2, 0.75
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 #: Sequence ids of a shard are shard * SHARD_IDS and up.
@@ -108,115 +116,102 @@ class Index:
         order = np.argsort(slot, kind="stable")
         self.doc, self.weight = doc[order].astype(np.int32), weight[order]
         self.at = np.concatenate(([0], np.cumsum(np.bincount(slot, minlength=1 << SLOTS_LOG2))))
-        some = run_starts(slot[order])
-        self.most = np.zeros(1 << SLOTS_LOG2, np.float32)  # the greatest weight of a slot
-        self.most[slot[order][some]] = np.maximum.reduceat(self.weight, some) if len(some) else 0
         del order
         # as given, by document and slot
-        self.slot, self.own, self.own_at = slot.astype(np.int32), weight, np.searchsorted(doc, np.arange(self.n + 1))
-        self.asked = np.zeros(1 << SLOTS_LOG2, np.float32)
-
-    def _exact(self, docs: np.ndarray, terms: np.ndarray) -> np.ndarray:
-        """Scores of docs over all terms.  One order of adding, so that equal documents tie."""
-        n = np.diff(self.own_at)[docs]
-        ends = np.cumsum(n)
-        k = np.repeat(self.own_at[docs] - (ends - n), n) + np.arange(ends[-1])
-        self.asked[terms] = 1
-        score = np.add.reduceat(self.own[k] * self.asked[self.slot[k]], ends - n)
-        self.asked[terms] = 0
-        return score
-
-    def _ranked(self, docs: np.ndarray, terms: np.ndarray) -> np.ndarray:
-        return docs[np.argsort(-self._exact(docs, terms), kind="stable")] if len(docs) else docs
-
-    def _best(self, terms: np.ndarray, unused: np.ndarray) -> np.ndarray:
-        """The first FIRST unused documents by exact score (all that score, where they are fewer).
-
-        Terms of great weight are added first.  What the others can still add is bounded, so a document whose sum
-        and that bound stay below the FIRST-th sum isn't among the first; the rest are scored exactly.
-        """
-        terms = terms[np.argsort(-self.most[terms], kind="stable")]
-        left = np.append(np.cumsum(self.most[terms][::-1].astype(np.float64))[::-1], 0)
-        size = np.cumsum(self.at[terms + 1] - self.at[terms])
-        total, a = np.zeros(self.n), 0
-        while True:
-            b = max(a + 1, int(np.searchsorted(size, 2 * (size[a - 1] if a else self.n // 2), "right")))
-            spans = [slice(self.at[t], self.at[t + 1]) for t in terms[a:b]]
-            total += np.bincount(np.concatenate([self.doc[x] for x in spans]), np.concatenate([self.weight[x] for x in spans]), self.n)
-            a = min(b, len(terms))
-            live = np.where(unused, total, 0)
-            least = np.partition(live, self.n - FIRST)[self.n - FIRST] if self.n > FIRST else 0
-            # sums of floats in another order differ a little
-            docs = np.flatnonzero((live > 0) & (live + left[a] >= least * (1 - 1e-4) - 1e-4)) if least > left[a] or a == len(terms) else None
-            if docs is not None and (len(docs) <= 8 * FIRST or a == len(terms)):
-                return self._ranked(docs, terms)[:FIRST]
+        self.slot, self.own_at = slot.astype(np.int32), np.searchsorted(doc, np.arange(self.n + 1))
+
+    def scores(self, seed: int) -> np.ndarray:
+        """Every document's score over all of the seed's terms, added in one order, so that equal documents tie."""
+        terms = self.slot[self.own_at[seed] : self.own_at[seed + 1]]
+        low, n = self.at[terms], self.at[terms + 1] - self.at[terms]
+        k = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        return np.bincount(self.doc[k], self.weight[k], self.n)
 
     def neighbours(self, seed: int, unused: np.ndarray) -> Iterator[int]:
-        """Unused documents by falling score over all the seed's terms."""
-        terms = self.slot[self.own_at[seed] : self.own_at[seed + 1]][:QUERY_TERMS]
-        if not len(terms):
+        """Unused documents by falling score; few are asked for, so more than FIRST are ranked only when it is so."""
+        score = np.where(unused, self.scores(seed), 0)
+        some = np.flatnonzero(score)
+        while len(some):
+            least = np.partition(score[some], len(some) - FIRST)[len(some) - FIRST] if len(some) > FIRST else 0
+            best = some[score[some] >= least]
+            yield from best[np.argsort(-score[best], kind="stable")].tolist()
+            some = some[score[some] < least]
+
+
+class Order:
+    """The order in which documents are dealt to shards."""
+
+    def __init__(self, idf: np.ndarray, mean: float, df: np.ndarray, most: int):
+        self.idf, self.mean = idf, mean
+        self.shared = (df > 1) & (df <= max(most, 2))  # terms that bring few enough documents together
+        self.centroids = np.zeros((1, DIMENSIONS))
+
+    def _weighed(self, buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text index, slot, weight in whole numbers) of a chunk's terms."""
+        doc, slot, count, length = term_counts(buf, off)
+        weight = self.idf[slot] * count * (K1 + 1) / (count + K1 * (1 - B + B * length[doc] / max(self.mean, 1e-9)))
+        return doc, slot, np.rint(16 * weight).astype(np.int64)
+
+    def _vectors(self, doc: np.ndarray, slot: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
+        h = mix(slot.astype(U64) + U64(1))
+        sign = 1 - 2 * ((h >> U64(40)) & U64(1)).astype(np.int64)
+        return np.bincount(doc * DIMENSIONS + (h % U64(DIMENSIONS)).astype(np.int64), sign * weight, n * DIMENSIONS).reshape(n, DIMENSIONS)
+
+    def vectors(self, texts: pa.Array) -> np.ndarray:
+        return np.concatenate([self._vectors(*self._weighed(buf, off), len(off) - 1) for _, buf, off in chunks(texts, lower=True)] or [np.zeros((0, DIMENSIONS))])
+
+    def fit(self, vectors: np.ndarray, rounds: int = 8) -> None:
+        """Centroids by spherical k-means, begun at evenly spaced rows; in whole numbers, so dot products are exact."""
+        some = vectors[np.abs(vectors).sum(1) > 0]
+        if not len(some):
             return
-        unused = unused.copy()
-        first = self._best(terms, unused)
-        yield from first.tolist()
-        if len(first) < FIRST:
-            return
-        unused[first] = False
-        rest = np.zeros(self.n, bool)
-        for t in terms:
-            rest[self.doc[self.at[t] : self.at[t + 1]]] = True
-        yield from self._ranked(np.flatnonzero(rest & unused), terms).tolist()
-
-
-def plan(lengths: np.ndarray, index: Index, window: int = WINDOW) -> Iterator[tuple[int, int, int, int, int]]:
-    """(document, start, length, sequence, offset) of every piece."""
-    unused = np.ones(len(lengths), bool)
-    sequence, offset, following = 0, 0, 0
-    last: list[tuple[int, int, int]] = []  # pieces of the open window
-    seed = -1
-    queue: Iterator[int] = iter(())
-    while True:
-        current = next((x for x in queue if unused[x]), -1)
-        if current < 0:
-            while following < len(lengths) and not unused[following]:
-                following += 1
-            if following == len(lengths):
-                break
-            current = following
-        unused[current] = False
-        at, size = 0, int(lengths[current])
-        opened = offset == 0
-        while at < size:
-            n = min(size - at, window - offset)
-            last.append((current, at, n))
-            at, offset = at + n, offset + n
-            if offset == window:
-                o = 0
-                for d, s, k in last:
-                    yield d, s, k, sequence, o
-                    o += k
-                last, offset, sequence = [], 0, sequence + 1
-                opened = True
-        if opened and offset:  # it began this window, whole or with its rest
-            seed = current
-            queue = index.neighbours(seed, unused)
-        elif not offset:
-            queue = iter(())
-    # what is left of the last window, in powers of two
-    bit = window >> 1
-    while last:
-        while bit > offset:
-            bit >>= 1
-        o = 0
-        while o < bit:
-            d, s, k = last[0]
-            n = min(k, bit - o)
-            yield d, s, n, sequence, o
-            o += n
-            last[0] = (d, s + n, k - n)
-            if n == k:
-                last.pop(0)
-        offset, sequence = offset - bit, sequence + 1
+        some = some / np.linalg.norm(some, axis=1, keepdims=True)
+        found = some[np.linspace(0, len(some) - 1, min(CLUSTERS, len(some))).astype(int)]
+        for _ in range(rounds):
+            own = (some @ found.T).argmax(1)
+            sums = np.stack([some[own == i].sum(0) if (own == i).any() else found[i] for i in range(len(found))])
+            found = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-9)
+        chain, rest = [0], set(range(1, len(found)))
+        while rest:  # like subjects follow one another, as shards may hold several
+            near = max(rest, key=lambda i: (float(found[i] @ found[chain[-1]]), -i))
+            rest.remove(near)
+            chain.append(near)
+        self.centroids = np.rint(1000 * found[chain])
+
+    def keys(self, texts: pa.Array, row: np.ndarray, salt: np.ndarray) -> np.ndarray:
+        """Order key of every text."""
+        out = []
+        for first, buf, off in chunks(texts, lower=True):
+            n = len(off) - 1
+            doc, slot, weight = self._weighed(buf, off)
+            subject = (self._vectors(doc, slot, weight, n) @ self.centroids.T).argmax(1)
+            term = np.zeros(n, np.int64)
+            best = np.where(self.shared[slot], weight, -1) * (1 << SLOTS_LOG2) + slot
+            some = run_starts(doc)
+            term[doc[some]] = np.maximum.reduceat(best, some) & ((1 << SLOTS_LOG2) - 1) if len(some) else 0
+            own = slice(first, first + n)
+            route = subject.astype(np.int64) << SLOTS_LOG2 | term
+            out.append((route << HASH_BITS | row[own] & ((1 << HASH_BITS) - 1)) << SALT_BITS | salt[own])
+        return np.concatenate(out) if out else np.zeros(0, np.int64)
+
+
+def splitters(keys: np.ndarray, sizes: np.ndarray, parts: int) -> np.ndarray:
+    """parts - 1 keys that cut a sample of documents into shares of like size."""
+    order = np.argsort(keys, kind="stable")
+    upto = np.cumsum(sizes[order])
+    at = np.searchsorted(upto, upto[-1] * np.arange(1, parts) / parts) if len(order) else np.zeros(0, np.int64)
+    return keys[order][np.minimum(at, len(order) - 1)]
+
+
+def shard_of(keys: np.ndarray, cuts: np.ndarray, each: int) -> np.ndarray:
+    """Shard of every key: its range, and its route's share of it; a route with a cut inside is shared out by row."""
+    at = np.searchsorted(cuts, keys, "right")
+    if each == 1:
+        return at
+    route = keys >> (HASH_BITS + SALT_BITS)
+    ends = np.concatenate(([-1], cuts >> (HASH_BITS + SALT_BITS), [-1]))
+    large = (route == ends[at]) | (route == ends[at + 1])
+    return at * each + (mix(np.where(large, keys, route).astype(U64)) % U64(each)).astype(np.int64)
 
 
 def pack_shard(table: pa.Table, idf: np.ndarray, mean: float, json_path: str, rank_path: str) -> pa.Table:
@@ -250,19 +245,59 @@ def pack_shard(table: pa.Table, idf: np.ndarray, mean: float, json_path: str, ra
     return pa.table({"doc_id": ids.take(pa.array(cols[:, 0])), "start": cols[:, 1], "length": cols[:, 2], "ids_crc32": crc, "doc_tokens": sizes[cols[:, 0]].astype(np.int64), "sequence_id": shard * SHARD_IDS + cols[:, 3], "offset": cols[:, 4]})
 
 
+def dealt(rows: DataFrame, df: np.ndarray, idf: np.ndarray, mean: float, n_docs: int, shards: int) -> tuple[DataFrame, int]:
+    """rows (doc_id, text) with the shard of each, and how many shards there are."""
+    if shards == 1:
+        return rows.withColumn("shard", F.lit(0)), 1
+    order = Order(idf, mean, df, -(-n_docs // shards))
+    h = F.xxhash64("doc_id", "text")
+    few = lambda n: rows.where(F.pmod(F.xxhash64(h), F.lit(1 << 30)) < int(min(1.2 * n / n_docs, 1) * (1 << 30)))
+
+    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [x.astype("<i4").tobytes() for x in order.vectors(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["h", "v"])
+
+    # at most FIT_ROWS vectors
+    got = few(FIT_ROWS).select(h.alias("h"), "text").mapInArrow(vectors, "h long, v binary").limit(FIT_ROWS).toArrow().sort_by("h").column("v").to_pylist()
+    order.fit(np.frombuffer(b"".join(got), "<i4").reshape(-1, DIMENSIONS).astype(float))
+
+    def key(texts: pa.Array, row: pa.Array, salt: pa.Array) -> pa.Array:
+        return pa.array(order.keys(texts, row.to_numpy(), salt.to_numpy()))
+
+    key.__annotations__ = {"texts": pa.Array, "row": pa.Array, "salt": pa.Array, "return": pa.Array}
+    salt = F.pmod(F.xxhash64("i"), F.lit(1 << SALT_BITS))
+
+    def keyed(some: DataFrame, function, name: str, kind: str) -> DataFrame:
+        numbered = some.select("doc_id", "text", h.alias("h"), F.monotonically_increasing_id().alias("i"))
+        return numbered.select("doc_id", "text", F.arrow_udf(function, kind)("text", "h", salt).alias(name))
+
+    # at most SPLIT_ROWS pairs of numbers
+    sample = keyed(few(SPLIT_ROWS), key, "key", "long").select("key", (F.octet_length("text") + 64).alias("size")).limit(SPLIT_ROWS).toArrow()
+    ranges = min(shards, RANGES)
+    each = -(-shards // ranges)
+    cuts = splitters(sample.column("key").to_numpy(), sample.column("size").to_numpy(), ranges)
+
+    def shard(texts: pa.Array, row: pa.Array, salt: pa.Array) -> pa.Array:
+        return pa.array(shard_of(order.keys(texts, row.to_numpy(), salt.to_numpy()), cuts, each).astype(np.int32))
+
+    shard.__annotations__ = key.__annotations__
+    return keyed(rows, shard, "shard", "int"), ranges * each
+
+
 def pack(docs: DataFrame, json_path: str, rank_path: str, key: str = "doc_id", text: str = "text", shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Every piece of every document; columns PIECES."""
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     df, n_docs, n_words, n_bytes = statistics(rows)
     idf = np.log1p((n_docs - df + 0.5) / (df + 0.5)).astype(np.float32)
-    sent = docs.sparkSession.sparkContext.broadcast((idf, n_words / max(n_docs, 1)))  # 2**SLOTS_LOG2 numbers
-    shards = tasks_for(n_bytes + 64 * n_docs, shard_bytes)
+    mean = n_words / max(n_docs, 1)
+    sent = docs.sparkSession.sparkContext.broadcast((idf, mean))  # 2**SLOTS_LOG2 numbers
 
     def run(table: pa.Table) -> pa.Table:
         return pack_shard(table, *sent.value, json_path, rank_path)
 
-    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)))
-    return dealt.repartition(shards, "shard").groupBy("shard").applyInArrow(run, PIECES)
+    placed, shards = dealt(rows, df, idf, mean, n_docs, tasks_for(n_bytes + 64 * n_docs, shard_bytes))
+    return placed.repartitionById(shards, "shard").groupBy("shard").applyInArrow(run, PIECES)
 
 
 _encoders: dict[tuple[str, str], Encoder] = {}

@@ -633,7 +633,7 @@ def test_neighbours_are_the_best_by_bm25():
     index = packing.Index(doc, slot, count, length, idf, length.mean())
     unused = np.array([rng.random() < 0.7 for _ in docs])
     for seed in range(60):
-        query = sorted((t for t in counts[seed] if df[t] > 1), key=lambda t: (-idf[t], t))[: packing.QUERY_TERMS]
+        query = sorted((t for t in counts[seed] if df[t] > 1), key=lambda t: (-idf[t], t))
         score = {j: sum(idf[t] * c[t] * (packing.K1 + 1) / (c[t] + packing.K1 * (1 - packing.B + packing.B * length[j] / length.mean())) for t in query if c[t]) for j, c in enumerate(counts) if unused[j]}
         got = list(index.neighbours(seed, unused))
         assert set(got) == {j for j, s in score.items() if s > 0} and all(score[a] >= score[b] - 1e-4 for a, b in zip(got, got[1:], strict=False))
@@ -661,6 +661,89 @@ def test_neighbours_score_every_term_of_whole_documents():
         assert all(score[a] >= score[b] - 1e-3 for a, b in zip(got, got[1:], strict=False))
 
 
+def bm25(texts):
+    """Scores of every two texts by words, with statistics of all."""
+    bags = [Counter(t.split()) for t in texts]
+    df, mean = Counter(w for c in bags for w in c), sum(sum(c.values()) for c in bags) / len(texts)
+    idf = {w: float(np.float32(np.log1p((len(texts) - n + 0.5) / (n + 0.5)))) for w, n in df.items()}
+    part = lambda c, w: idf[w] * c[w] * (packing.K1 + 1) / (c[w] + packing.K1 * (1 - packing.B + packing.B * sum(c.values()) / mean))
+    weights = [{w: part(c, w) for w in c} for c in bags]
+    return np.array([[sum(theirs.get(w, 0) for w in own) for theirs in weights] for own in weights]), idf, mean
+
+
+def subjects(n, seed):
+    """Texts of eight subjects, each with its own words beside common ones."""
+    rng = random.Random(seed)
+    return [" ".join(f"s{i % 8}w{rng.randrange(120)}" if rng.random() < 0.4 else f"c{rng.randrange(200)}" for _ in range(rng.randrange(20, 80))) for i in range(n)]
+
+
+def as_buffer(texts):
+    return next(textbuf.chunks(pa.array(texts), 1 << 30))[1:]
+
+
+def test_windows_against_a_plain_greedy_packer():
+    texts = subjects(70, 41)
+    scores, _, _ = bm25(texts)
+    doc, slot, count, length = packing.term_counts(*as_buffer(texts))
+    df = np.bincount(slot, minlength=1 << packing.SLOTS_LOG2)
+    index = packing.Index(doc, slot, count, length, np.log1p((70 - df + 0.5) / (df + 0.5)).astype(np.float32), length.mean())
+    sizes, window = np.array([len(t) for t in texts]), 256
+    unused, stream, seed, room = set(range(70)), [], None, 0
+    while unused:  # the document with the best score to the window's opener, or the next one
+        best = max(unused, key=lambda d: (round(scores[seed][d], 3), -d)) if seed is not None else None
+        current = best if best is not None and scores[seed][best] > 0 else min(unused)
+        unused.remove(current)
+        stream.append(current)
+        left = sizes[current] - room if room else sizes[current]
+        if not room or left > 0:  # it opens a window, whole or with its rest
+            room = (window - left % window) % window
+            seed = current if room else None
+        else:
+            room = -left
+            seed = seed if room else None
+    got = list(packing.plan(sizes, index, window))
+    order = list(dict.fromkeys(d for d, *_ in got))
+    assert order == stream
+    flat = [(d, s + k) for d, s, n, _, _ in got for k in range(n)]
+    assert flat == [(d, k) for d in stream for k in range(sizes[d])]
+
+
+def test_related_documents_meet_in_a_shard():
+    """Of the ten best neighbours in the whole corpus, those in a document's own shard, of ten."""
+    texts = subjects(800, 42)
+    scores, _, mean = bm25(texts)
+    np.fill_diagonal(scores, 0)
+    best = np.argsort(-scores, axis=1)[:, :10]
+    _, slot, _, _ = packing.term_counts(*as_buffer(texts))
+    df = np.bincount(slot, minlength=1 << packing.SLOTS_LOG2)
+    order = packing.Order(np.log1p((800 - df + 0.5) / (df + 0.5)).astype(np.float32), mean, df, 80)
+    order.fit(order.vectors(pa.array(texts[:400])))
+    row, salt = np.arange(800) * 7919, np.zeros(800, int)
+    keys = order.keys(pa.array(texts), row, salt)
+    assert (keys == np.concatenate([order.keys(pa.array(texts[i : i + 7]), row[i : i + 7], salt[i : i + 7]) for i in range(0, 800, 7)])).all()  # whatever the batch
+    sizes = np.array([len(t) for t in texts])
+    some = np.random.default_rng(1).random(800) < 0.5
+    shard = packing.shard_of(keys, packing.splitters(keys[some], sizes[some], 10), 1)
+    assert np.bincount(shard, sizes, 10).max() < 2 * sizes.sum() / 10
+    assert np.mean(shard[best] == shard[:, None]) > 0.5
+
+
+def test_one_large_group_is_split():
+    order = packing.Order(np.zeros(1 << packing.SLOTS_LOG2, np.float32), 1, np.zeros(1 << packing.SLOTS_LOG2, int), 2)
+    keys = order.keys(pa.array(["the same text"] * 4000), np.zeros(4000, int), np.arange(4000) * 37 % (1 << packing.SALT_BITS))
+    for ranges, each in ((8, 1), (4, 3)):
+        shard = packing.shard_of(keys, packing.splitters(keys, np.ones(4000), ranges), each)
+        assert shard.max() < ranges * each and np.bincount(shard).max() < 1.6 * 4000 / (ranges * each)
+
+
+def test_packing_in_many_shards(spark):
+    docs = documents(spark).select("doc_id", "text")
+    twice = docs.unionByName(docs.limit(20)).unionByName(hard(spark).select("doc_id", "text"))
+    rows = packing.pack(twice, *vocabulary(), shard_bytes=20_000).collect()
+    check_packing(rows, [(r.doc_id, r.text) for r in twice.collect()])
+    assert len({r.sequence_id // packing.SHARD_IDS for r in rows}) > 10
+
+
 # ---- 8 archives
 
 
