@@ -42,6 +42,8 @@ SLICE = 1 << 12
 SHARD_BYTES = 8 << 20
 #: Neighbours that are found at first; a window takes few, and more are ranked when it asks.
 FIRST = 16
+#: Bytes of text that are encoded at once; more share more pieces.
+ENCODED_AT_ONCE = 2_000_000
 #: Subjects, dimensions of the vectors that they are told by, and documents that their centroids are fitted on.
 CLUSTERS, DIMENSIONS, FIT_ROWS = 64, 512, 4096
 #: Documents whose place in the order is collected for splitters, and ranges that splitters cut at most.
@@ -114,7 +116,7 @@ class Index:
         weight = idf[slot] * count * np.float32(K1 + 1) / (count + norm[doc])
         del count, shared
         order = np.argsort(slot, kind="stable")
-        self.doc, self.weight = doc[order].astype(np.int32), weight[order]
+        self.doc, self.weight = doc[order].astype(np.int64), weight[order].astype(float)  # as sums want them
         self.at = np.concatenate(([0], np.cumsum(np.bincount(slot, minlength=1 << SLOTS_LOG2))))
         del order
         # as given, by document and slot
@@ -127,15 +129,27 @@ class Index:
         k = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
         return np.bincount(self.doc[k], self.weight[k], self.n)
 
+    def compact(self, unused: np.ndarray) -> None:
+        """Drop postings of used documents, which nothing asks for again."""
+        keep = unused[self.doc]
+        self.at = np.concatenate(([0], np.cumsum(keep)))[self.at]
+        self.doc, self.weight = self.doc[keep], self.weight[keep]
+
     def neighbours(self, seed: int, unused: np.ndarray) -> Iterator[int]:
         """Unused documents by falling score; few are asked for, so more than FIRST are ranked only when it is so."""
-        score = np.where(unused, self.scores(seed), 0)
-        some = np.flatnonzero(score)
-        while len(some):
-            least = np.partition(score[some], len(some) - FIRST)[len(some) - FIRST] if len(some) > FIRST else 0
-            best = some[score[some] >= least]
-            yield from best[np.argsort(-score[best], kind="stable")].tolist()
-            some = some[score[some] < least]
+        score = self.scores(seed)
+        score *= unused
+        some, own = None, score
+        while True:
+            n = len(own)
+            least = np.partition(own, n - FIRST)[n - FIRST] if n > FIRST else 0
+            best = np.flatnonzero(own >= least) if least > 0 else np.flatnonzero(own)
+            found = best[np.argsort(-own[best], kind="stable")]
+            yield from (found if some is None else some[found]).tolist()
+            if least <= 0:
+                return
+            rest = np.flatnonzero((own < least) & (own > 0))
+            some, own = rest if some is None else some[rest], own[rest]
 
 
 class Order:
@@ -214,6 +228,60 @@ def shard_of(keys: np.ndarray, cuts: np.ndarray, each: int) -> np.ndarray:
     return at * each + (mix(np.where(large, keys, route).astype(U64)) % U64(each)).astype(np.int64)
 
 
+def plan(lengths: np.ndarray, index: Index, window: int = WINDOW) -> Iterator[tuple[int, int, int, int, int]]:
+    """(document, start, length, sequence, offset) of every piece."""
+    unused = np.ones(len(lengths), bool)
+    sequence, offset, following = 0, 0, 0
+    last: list[tuple[int, int, int]] = []  # pieces of the open window
+    left, compacted = len(lengths), len(lengths)
+    queue: Iterator[int] = iter(())
+    while True:
+        current = next((x for x in queue if unused[x]), -1)
+        if current < 0:
+            while following < len(lengths) and not unused[following]:
+                following += 1
+            if following == len(lengths):
+                break
+            current = following
+        unused[current] = False
+        left -= 1
+        at, size = 0, int(lengths[current])
+        opened = offset == 0
+        while at < size:
+            n = min(size - at, window - offset)
+            last.append((current, at, n))
+            at, offset = at + n, offset + n
+            if offset == window:
+                o = 0
+                for d, s, k in last:
+                    yield d, s, k, sequence, o
+                    o += k
+                last, offset, sequence = [], 0, sequence + 1
+                opened = True
+        if opened and offset:  # it began this window, whole or with its rest
+            if left < 0.85 * compacted:
+                index.compact(unused)
+                compacted = left
+            queue = index.neighbours(current, unused)
+        elif not offset:
+            queue = iter(())
+    # what is left of the last window, in powers of two
+    bit = window >> 1
+    while last:
+        while bit > offset:
+            bit >>= 1
+        o = 0
+        while o < bit:
+            d, s, k = last[0]
+            n = min(k, bit - o)
+            yield d, s, n, sequence, o
+            o += n
+            last[0] = (d, s + n, k - n)
+            if n == k:
+                last.pop(0)
+        offset, sequence = offset - bit, sequence + 1
+
+
 def pack_shard(table: pa.Table, idf: np.ndarray, mean: float, json_path: str, rank_path: str) -> pa.Table:
     """One shard's documents (doc_id, text, shard) -> its pieces."""
     order = pc.sort_indices(table.select(["doc_id", "text"]), [("doc_id", "ascending"), ("text", "ascending")], null_placement="at_start")
@@ -222,7 +290,7 @@ def pack_shard(table: pa.Table, idf: np.ndarray, mean: float, json_path: str, ra
     del table
     encoder = _encoder(json_path, rank_path)
     parts, sizes = [], []
-    for _, buf, off in chunks(texts):
+    for _, buf, off in chunks(texts, ENCODED_AT_ONCE):
         got, ends = encoder.encode(buf, off)
         n = np.diff(ends)
         out = np.full(len(got) + len(n), END_ID, "<u4")

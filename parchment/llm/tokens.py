@@ -10,15 +10,17 @@ from __future__ import annotations
 
 import base64
 import unicodedata
+from itertools import chain
 
 import numpy as np
 
-from parchment.llm.textbuf import prefix_hash, run_starts, span_hash
+from parchment.llm.textbuf import U64, prefix_hash, run_starts, span_hash
 
 #: Characters below this are classed by table; blocks above still gain characters.
 KNOWN = 0x3000
 SPACE, LETTER, NUMBER, OTHER, UNSURE = range(5)
-CACHE_PIECES = 200_000
+#: Pieces whose ids are kept, some 25 bytes each, and the latest of them, which are merged with the others when so many.
+CACHE_PIECES, LATEST = 1_500_000, 1 << 16
 SPECIAL = "<|endoftext|>"
 
 _table: np.ndarray | None = None
@@ -78,9 +80,34 @@ class Encoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.where: dict[int, int] = {}
         self.pool, self.used = np.zeros(1 << 18, np.uint32), 0
-        self.begin, self.size = np.zeros(CACHE_PIECES * 2, np.int64), np.zeros(CACHE_PIECES * 2, np.int64)
+        self.begin, self.size, self.known = np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int32), 0
+        # sorted names of pieces and where they are kept: all but the latest, and the latest
+        self.levels = [(np.zeros(0, U64), np.zeros(0, np.int32)) for _ in range(2)]
+
+    def _kept(self, names: np.ndarray) -> np.ndarray:
+        """Where pieces are kept, by their sorted names; -1 for those that aren't."""
+        out = np.full(len(names), -1, np.int64)
+        for have, slots in self.levels:
+            if len(have):
+                at = np.minimum(np.searchsorted(have, names), len(have) - 1)
+                out = np.where(have[at] == names, slots[at], out)
+        return out
+
+    def _keep(self, names: np.ndarray, found: list[list[int]]) -> np.ndarray:
+        """Keep the ids of new pieces; returns where."""
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        total = int(sizes.sum())
+        self.pool = _room(self.pool, self.used + total)
+        self.pool[self.used : self.used + total] = np.fromiter(chain.from_iterable(found), np.uint32, total)
+        self.begin, self.size = _room(self.begin, self.known + len(names)), _room(self.size, self.known + len(names))
+        slots = np.arange(self.known, self.known + len(names), dtype=np.int32)
+        self.begin[slots], self.size[slots] = self.used + np.cumsum(sizes) - sizes, sizes
+        self.used, self.known = self.used + total, self.known + len(names)
+        self.levels[1] = _merged(*self.levels[1], names, slots)
+        if len(self.levels[1][0]) > LATEST:
+            self.levels = [_merged(*self.levels[0], *self.levels[1]), (np.zeros(0, U64), np.zeros(0, np.int32))]
+        return slots
 
     def by_library(self, text: str) -> list[int]:
         if self.whole is None:
@@ -109,29 +136,13 @@ class Encoder:
         high = np.append(low[1:], len(buf))
         h = span_hash(prefix_hash(buf), low, high)
         keys, inverse = _grouped(h)
-        if len(self.where) + len(keys) > CACHE_PIECES * 2 or self.used > CACHE_PIECES * 8:
+        if self.known + len(keys) > CACHE_PIECES or self.used > CACHE_PIECES * 4:
             self._clear()
-        names = h[keys].tolist()
-        get = self.where.get
-        slot = np.array([get(x, -1) for x in names], np.int64)
+        slot = self._kept(h[keys])
         new = np.flatnonzero(slot < 0)
         if len(new):
-            texts = [data[a:b].decode() for a, b in zip(low[keys[new]].tolist(), high[keys[new]].tolist(), strict=True)]
             core = self.fast._core_bpe.encode_ordinary
-            got = [core(x) for x in texts]
-            sizes = np.fromiter(map(len, got), np.int64, len(got))
-            flat = np.fromiter((i for x in got for i in x), np.uint32, int(sizes.sum()))
-            n = len(self.where)
-            while n + len(new) > len(self.begin):  # one very long text can hold more pieces than are kept
-                self.begin, self.size = (np.concatenate((x, np.zeros_like(x))) for x in (self.begin, self.size))
-            while self.used + len(flat) > len(self.pool):
-                self.pool = np.concatenate((self.pool, np.zeros_like(self.pool)))
-            self.pool[self.used : self.used + len(flat)] = flat
-            self.begin[n : n + len(new)] = self.used + np.cumsum(sizes) - sizes
-            self.size[n : n + len(new)] = sizes
-            self.used += len(flat)
-            slot[new] = np.arange(n, n + len(new))
-            self.where.update(zip((names[i] for i in new.tolist()), range(n, n + len(new)), strict=True))
+            slot[new] = self._keep(h[keys[new]], [core(data[a:b].decode()) for a, b in zip(low[keys[new]].tolist(), high[keys[new]].tolist(), strict=True)])
         slot = slot[inverse]
         size = self.size[slot]
         total = np.concatenate(([0], np.cumsum(size)))
@@ -144,6 +155,17 @@ class Encoder:
         return ids, ends
 
 
+def _room(a: np.ndarray, n: int) -> np.ndarray:
+    """An array that begins as a and has room for n values or more."""
+    return a if len(a) >= n else np.concatenate((a, np.zeros(max(n, 2 * len(a)) - len(a), a.dtype)))
+
+
+def _merged(names: np.ndarray, slots: np.ndarray, more: np.ndarray, theirs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two sorted lists of names, with their slots, as one."""
+    at = np.searchsorted(names, more)
+    return np.insert(names, at, more), np.insert(slots, at, theirs)
+
+
 def _grouped(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(index of one occurrence of each distinct value, which distinct value each place has)."""
     order = np.argsort(h)
