@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parchment.operators.grouping import line_digest
 from parchment.schema import ALL_SOURCES, OCR_SOURCES, TEXT_SOURCES
 
 
@@ -35,7 +36,7 @@ def duplicate_ids(rows: DataFrame) -> DataFrame:
 
 def manifest_problems(rows: DataFrame, manifest: DataFrame) -> DataFrame:
     """Partitions whose counts or ids differ from what the manifest (partition, rows, listed, ids_sha256) says, and those only one side has."""
-    digest = F.sha2(F.array_join(F.array_sort(F.collect_list("id")), "\n"), 256)
+    digest = line_digest(F.col("id"))
     found = rows.groupBy(F.col("_stored_in").alias("partition")).agg(F.count("*").alias("n"), F.count_if("listed").alias("l"), digest.alias("d"))
     both = manifest.join(found, "partition", "full_outer")
     count = lambda a, b, what: F.when(~F.col(a).eqNullSafe(F.col(b)), F.concat_ws(" ", F.coalesce(F.col(a), F.lit(0)), F.lit(f"{what}, the manifest says"), F.coalesce(F.col(b), F.lit(0))))

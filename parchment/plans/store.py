@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from parchment.operators.grouping import line_digest
 from parchment.schema import DOCUMENTS, conform
 
 ROW_GROUP_BYTES = 64 << 20
@@ -76,22 +77,26 @@ class SnapshotStore:
         reader = self.spark.read.schema(self.schema)
         return reader.parquet(*paths) if paths else self.spark.createDataFrame([], self.schema)
 
-    def commit(self, changed: DataFrame, base: dict, **record) -> dict:
-        """Replace the partitions that occur in changed; base is the manifest the change was planned on.
+    def commit(self, changed: DataFrame, base: dict, stamps: dict[str, dict] | None = None, **record) -> dict:
+        """Replace the partitions that occur in changed; base is the manifest the change was planned on; stamps go to the
+        entries of partitions that are known.
 
-        One write for all partitions: rows go to their partition's task, sorted by key, and row groups close by size.
+        One write for all partitions: rows are dealt by ranges of partition and key, so a large partition is many tasks'
+        work, each file holds a range of keys in order, and row groups close by size.
         """
         run, number = uuid.uuid4().hex, base["version"] + 1
         rows = conform(changed, self.schema)
         copy = "_partition"
         out = f"{self.root}/_staging/{run}"
-        ordered = rows.withColumn(copy, self.partition).repartition(copy).sortWithinPartitions(copy, self.key)
+        ordered = rows.withColumn(copy, self.partition).repartitionByRange(copy, self.key).sortWithinPartitions(copy, self.key)
         ordered.write.partitionBy(copy).option("compression", "zstd").option("parquet.block.size", ROW_GROUP_BYTES).parquet(out)
         # declared, so that a commit without rows reads and a partition 2020 stays text
         written = self.spark.read.schema(T.StructType([*self.schema.fields, T.StructField(copy, T.StringType())])).parquet(out)
-        counts = [F.count("*").alias("rows"), F.sha2(F.array_join(F.array_sort(F.collect_list(F.col(self.key))), "\n"), 256).alias("ids_sha256")]
+        counts = [F.count("*").alias("rows"), line_digest(F.col(self.key)).alias("ids_sha256")]
         if "listed" in rows.columns:
             counts += [F.count_if("listed").alias("listed"), F.coalesce(F.sum("file_size"), F.lit(0)).alias("file_bytes")]
+        if "term" in rows.columns:
+            counts += [F.count_if(F.col("term").isNull()).alias("undated"), F.max("term").alias("last_term")]
         stats = written.groupBy(copy).agg(*counts)
         manifest = json.loads(json.dumps(base)) | record
         manifest["version"] = number
@@ -100,6 +105,9 @@ class SnapshotStore:
             name = d.pop(copy)
             folder = self._folder(out, copy, name)
             manifest["partitions"][name] = manifest["partitions"].get(name, {}) | d | {"path": folder}
+        for name, stamp in (stamps or {}).items():
+            if name in manifest["partitions"]:
+                manifest["partitions"][name] |= stamp
         if self.versions()[-1:] not in ([], [base["version"]]):
             raise Superseded(f"version {number} exists")
         self._create(f"_manifests/{number:09d}.json", json.dumps(manifest, indent=1, sort_keys=True))

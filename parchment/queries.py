@@ -34,6 +34,12 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+def digest_sql(line: str) -> str:
+    """grouping.line_digest() as SQL."""
+    sums = " || ':' || ".join(f"sum(('0x' || substr(sha256({line}), {1 + 15 * i}, 15))::bigint)" for i in range(4))
+    return f"sha256(count(*) || ':' || {sums})"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -46,22 +52,22 @@ def _today() -> Column:
 
 
 @query("""
-with o as (select o_orderkey k, o_orderstatus st, extract(year from o_orderdate) - case when extract(month from o_orderdate) < 10 then 1 else 0 end term from orders),
-u as (select k, st, 'OT' || term p from o where k % 5 <> 0),
-s as (select k, case when k % 11 = 0 then 'X' else st end st, 'OT' || (term - case when k % 13 = 0 then 1 else 0 end) p, k % 17 <> 0 listed from o where k % 7 <> 0),
-j as (select coalesce(s.p, u.p) part, u.k uk, s.k sk, coalesce(u.k, s.k) k, s.listed, u.st is distinct from s.st ch from u full outer join s on u.k = s.k)
-select part as "partition", case when uk is null and listed then 'delisted' when sk is null then 'new' when uk is null then 'unchanged' when not listed then 'relisted' when ch then 'changed' else 'unchanged' end as action,
+with o as (select o_orderkey k, o_orderstatus st, o_orderpriority pr, o_totalprice < 50000 cheap, extract(year from o_orderdate) - case when extract(month from o_orderdate) < 10 then 1 else 0 end term from orders),
+u as (select k, st, 'OT' || term p, cheap from o where st <> 'P'),
+s as (select k, case when pr = '2-HIGH' then 'X' else st end st, 'OT' || (term - case when pr = '3-MEDIUM' then 1 else 0 end) p, pr <> '5-LOW' listed from o where pr <> '1-URGENT'),
+j as (select coalesce(s.p, u.p) part, u.k uk, s.k sk, coalesce(u.k, s.k) k, s.listed, u.st is distinct from s.st ch, cheap from u full outer join s on u.k = s.k)
+select part as "partition", case when uk is null and listed then 'delisted' when sk is null and cheap then 'waiting' when sk is null then 'new' when uk is null then 'unchanged' when not listed then 'relisted' when ch then 'changed' else 'unchanged' end as action,
        count(*) n, min(k) min_id, max(k) max_id
 from j group by 1, 2""")
 def sync_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flagship: new, changed, delisted and relisted files, in the partition that holds them."""
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", T.october_term(F.col("o_orderdate")).alias("term"))
-    k = F.col("o_orderkey")
-    units = o.where(k % 5 != 0).select(k.alias("id"), F.concat(F.lit("OT"), "term").alias("partition"), F.col("o_orderstatus").alias("title"))
-    held = F.col("term") - F.when(k % 13 == 0, 1).otherwise(0)
-    stored = o.where(k % 7 != 0).select(k.alias("id"), F.concat(F.lit("OT"), held).alias("partition"), F.when(k % 11 == 0, "X").otherwise(F.col("o_orderstatus")).alias("title"), (k % 17 != 0).alias("listed"), "term")
-    none = spark.createDataFrame([], "id long, attempts int, at timestamp_ntz")
-    plan = sync.sync_plan(units, stored, none, sync.Options(now=f"{TODAY} 00:00:00", current_term=2025))
+    """Flagship: new, waiting, changed, delisted and relisted files, in the partition that holds them."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice", T.october_term(F.col("o_orderdate")).alias("term"))
+    k, status, priority = F.col("o_orderkey"), F.col("o_orderstatus"), F.col("o_orderpriority")
+    units = o.where(status != "P").select(k.alias("id"), F.concat(F.lit("OT"), "term").alias("partition"), status.alias("title"))
+    held = F.col("term") - F.when(priority == "3-MEDIUM", 1).otherwise(0)
+    stored = o.where(priority != "1-URGENT").select(k.alias("id"), F.concat(F.lit("OT"), held).alias("partition"), F.when(priority == "2-HIGH", "X").otherwise(status).alias("title"), (priority != "5-LOW").alias("listed"), "term")
+    failures = o.where("o_totalprice < 50000").select(k.alias("id"), F.lit(3).alias("attempts"), F.lit(f"{TODAY} 00:00:00").cast("timestamp_ntz").alias("at"))
+    plan = sync.sync_plan(units, stored, failures, sync.Options(now=f"{TODAY} 00:00:00", current_term=2025))
     return plan.groupBy("partition", "action").agg(F.count("*").alias("n"), F.min("id").alias("min_id"), F.max("id").alias("max_id"))
 
 
@@ -82,11 +88,12 @@ def october_term(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-with t as (select o_orderkey k, o_orderdate d, strftime(o_orderdate, '%-m/%-d/%y') a, strftime(o_orderdate, '%m-%d-%Y') b from orders)
-select k, strftime(case when year(d) % 100 <= 27 then d else d end, '%Y-%m-%d') short_date, strftime(d, '%Y-%m-%d') full_date, cast(null as varchar) bad_date from t""")
+with t as (select o_orderkey k, o_orderdate d, (o_orderkey % 100)::int yy from orders)
+select k, (case when yy <= 27 then 2000 else 1900 end + yy) || strftime(d, '-%m-') || lpad(least(day(d), 28)::varchar, 2, '0') short_date, strftime(d, '%Y-%m-%d') full_date, cast(null as varchar) bad_date from t""")
 def iso_date_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
-    short, full = F.date_format("o_orderdate", "M/d/yy"), F.date_format("o_orderdate", "MM-dd-yyyy")
+    full = F.date_format("o_orderdate", "MM-dd-yyyy")
+    short = F.concat_ws("/", F.month("o_orderdate"), F.least(F.dayofmonth("o_orderdate"), F.lit(28)), F.lpad((F.col("o_orderkey") % 100).cast("string"), 2, "0"))  # every two-digit year
     return o.select(F.col("o_orderkey").alias("k"), T.iso_date(short, _today()).alias("short_date"), T.iso_date(full, _today()).alias("full_date"), T.iso_date(F.concat(F.lit("13/"), full), _today()).alias("bad_date"))
 
 
@@ -101,14 +108,14 @@ def term_majority_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-with d as (select event_type || '/' || cast(ts as date) url, event_type, cast(ts as date) as day, count(*) n from events where event_type <> 'error' or extract(day from ts) % 3 <> 0 group by all),
+with d as (select event_type || '/' || cast(ts as date) url, event_type, cast(ts as date) as day, count(*) n from events where event_type <> 'error' or extract(dow from ts) not in (0, 6) group by all),
 pages as (select event_type, unnest(range(date '2024-01-01', date '2024-01-31', interval 1 day)) as day from (select distinct event_type from events)),
 now_ as (select p.event_type, p.day, coalesce(d.n, 0) n from pages p left join d on d.event_type = p.event_type and d.day = cast(p.day as date)),
 x as (select a.event_type, cast(a.day as date) as day, a.n, b.n before from now_ a left join now_ b on a.event_type = b.event_type and b.day = a.day - interval 1 day)
 select event_type || '/' || day as url, before, case when extract(day from day) % 2 = 0 then 'held' else 'fatal' end verdict from x where n = 0 and coalesce(before, 0) > 0""")
 def held_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
-    got = e.where((F.col("event_type") != "error") | (F.dayofmonth("ts") % 3 != 0)).groupBy("event_type", "day").agg(F.count("*").alias("n"))
+    got = e.where((F.col("event_type") != "error") | ~F.dayofweek("ts").isin(1, 7)).groupBy("event_type", "day").agg(F.count("*").alias("n"))
     days = F.explode(F.sequence(F.lit("2024-01-01").cast("date"), F.lit("2024-01-30").cast("date")))
     pages = e.select("event_type").distinct().select("event_type", days.alias("day")).join(got, ["event_type", "day"], "left").select("event_type", "day", F.coalesce("n", F.lit(0)).alias("entries"))
     now = pages.select(F.concat_ws("/", "event_type", "day").alias("url"), "entries", (F.dayofmonth("day") % 2 == 0).alias("explained"))
@@ -143,9 +150,9 @@ def codepoint_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("""
+@query(f"""
 with u as (select source, cast(doc_id as varchar) id, sha256(text) f from documents)
-select source, sha256(string_agg(id || chr(9) || f || chr(10), '' order by id || chr(9) || f || chr(10))) fingerprint from u group by 1""")
+select source, {digest_sql("id || chr(9) || f")} fingerprint from u group by 1""")
 def unit_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     units = table(spark, sf_dir, "documents").select("source", F.col("doc_id").cast("string").alias("id"), F.sha2("text", 256).alias("fingerprint"))
     return grouping.partition_fingerprints(units, "source")
@@ -157,14 +164,14 @@ def duplicate_text_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-with live as (select distinct l_suppkey + 3 id from lineitem), st as (select s_suppkey id from supplier), f as (select s_suppkey + 2 id from supplier where s_suppkey % 2 = 0),
+with live as (select distinct l_suppkey + 3 id from lineitem), st as (select s_suppkey id from supplier), f as (select s_suppkey + 2 id from supplier where s_acctbal >= 0),
 a as (select id from live union select id from st union select id from f),
 k as (select id, case when id in (from live) and id not in (from st) and id not in (from f) then 'missing' when id in (from live) and id not in (from st) then 'missing_but_failed' when id in (from st) and id not in (from live) then 'extra' end kind from a)
 select kind, count(*) n, min(id) first_id from k where kind is not null group by kind""")
 def live_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     live = table(spark, sf_dir, "lineitem").select((F.col("l_suppkey") + 3).alias("id"))
-    s = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"))
-    return sync.live_diff(live, s, s.where("id % 2 = 0").select((F.col("id") + 2).alias("id"))).groupBy("kind").agg(F.count("*").alias("n"), F.min("id").alias("first_id"))
+    s = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), "s_acctbal")
+    return sync.live_diff(live, s, s.where("s_acctbal >= 0").select((F.col("id") + 2).alias("id"))).groupBy("kind").agg(F.count("*").alias("n"), F.min("id").alias("first_id"))
 
 
 @query(r"""
@@ -184,7 +191,6 @@ select item_id, t = r equal, cast((select coalesce(sum(abs(x.n - coalesce(y.n, 0
 def nonspace_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Equality without white space, and the difference of two texts as multisets of characters."""
     t = table(spark, sf_dir, "benchmark").select("item_id", T.nonspace("text").alias("t"))
-    half = F.concat(F.expr("substr(t, 1, cast(length(t) / 2 as int) )"), F.lit("!"))
     half = F.concat(F.expr("substr(t, 1, length(t) div 2)"), F.lit("!"))
     chars = t.select("item_id", F.explode(F.split("t", "")).alias("c"), F.lit(1).alias("n")).union(t.select("item_id", F.explode(F.split(half, "")).alias("c"), F.lit(-1).alias("n")))
     delta = chars.where("c <> ''").groupBy("item_id", "c").agg(F.sum("n").alias("n")).groupBy("item_id").agg(F.sum(F.abs("n")).alias("delta"))
@@ -255,21 +261,21 @@ def split_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-with h as (select distinct l_partkey c, l_orderkey d from lineitem where l_linenumber = 1), n as (select l_partkey c, l_partkey % 50 + 1 o, l_orderkey d from lineitem where l_linenumber = 1),
+with h as (select distinct l_partkey c, l_orderkey d from lineitem), n as (select l_partkey c, l_partkey % 50 + 1 o, l_orderkey d from lineitem),
 w as (select distinct o c, d from n where o <> c)
 select w.c as "case", w.d as doc from w where not exists (select 1 from h where h.c = w.c and h.d = w.d)""")
 def consolidated_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    held = table(spark, sf_dir, "lineitem").where("l_linenumber = 1").select(F.col("l_partkey").alias("case"), F.col("l_orderkey").alias("doc"))
+    held = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("case"), F.col("l_orderkey").alias("doc"))
     named = held.withColumn("other", F.col("case") % 50 + 1)
     return attribution.consolidated(held, named, "case", "other", ["doc"])
 
 
 @query("""
-with w as (select c_custkey k, c_nationkey::bigint d from customer), h as (select o_custkey k, o_orderkey % 25 d, o_orderstatus s from orders where o_orderkey % 3 = 0)
-select k, d from w where k not in (select k from h where s = 'F') and not exists (select 1 from h where h.k = w.k and h.d = w.d)""")
+with w as (select c_custkey k, c_nationkey::bigint d from customer), h as (select o_custkey k, o_orderkey % 25 d, o_orderstatus s from orders)
+select k, d from w where k not in (select k from h where s = 'F' and k is not null) and not exists (select 1 from h where h.k = w.k and h.d = w.d)""")
 def fallback_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
     wanted = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), F.col("c_nationkey").cast("long").alias("d"))
-    held = table(spark, sf_dir, "orders").where("o_orderkey % 3 = 0").select(F.col("o_custkey").alias("k"), (F.col("o_orderkey") % 25).alias("d"), F.col("o_orderstatus").alias("s"))
+    held = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("k"), (F.col("o_orderkey") % 25).alias("d"), F.col("o_orderstatus").alias("s"))
     return attribution.fallback(wanted, held, ["k"], ["d"], F.col("s") == "F")
 
 
@@ -378,11 +384,11 @@ def top_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").where("event_type = 'error'").orderBy(F.desc("value"), "event_id").limit(25).select("event_id", "user_id", "event_type")
 
 
-@query("""
-with t as (select strftime(o_orderdate, '%Y') term, o_orderpriority collection, o_orderkey || ':' || o_orderstatus || chr(10) line from orders)
-select term, collection, count(*) n, sha256(string_agg(line, '' order by line)) signature from t group by 1, 2""")
+@query(f"""
+with t as (select strftime(o_orderdate, '%Y') term, o_orderpriority collection, o_orderkey || ':' || o_orderstatus line from orders)
+select term, collection, count(*) n, {digest_sql("line")} signature from t group by 1, 2""")
 def source_signature(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders").select(F.date_format("o_orderdate", "yyyy").alias("term"), F.col("o_orderpriority").alias("collection"), F.concat(F.col("o_orderkey"), F.lit(":"), F.col("o_orderstatus"), F.lit("\n")).alias("line"))
+    o = table(spark, sf_dir, "orders").select(F.date_format("o_orderdate", "yyyy").alias("term"), F.col("o_orderpriority").alias("collection"), F.concat(F.col("o_orderkey"), F.lit(":"), F.col("o_orderstatus")).alias("line"))
     return o.groupBy("term", "collection").agg(F.count("*").alias("n"), grouping.line_digest(F.col("line")).alias("signature"))
 
 

@@ -173,28 +173,28 @@ def page_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-with u as (select o_orderkey id, 'OT' || year(o_orderdate) p from orders), h as (select o_orderkey id, 'OT' || (year(o_orderdate) - 1) p from orders where o_orderkey % 4 = 0)
+with u as (select o_orderkey id, 'OT' || year(o_orderdate) p from orders), h as (select o_orderkey id, 'OT' || (year(o_orderdate) - 1) p from orders where o_orderstatus = 'P')
 select coalesce(h.p, u.p) as "partition", count(*) n from u left join h using (id) group by 1""")
 def sticky_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.year("o_orderdate").alias("y"))
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.year("o_orderdate").alias("y"), "o_orderstatus")
     units = o.select("id", F.concat(F.lit("OT"), "y").alias("partition"))
-    homes = o.where("id % 4 = 0").select("id", F.concat(F.lit("OT"), F.col("y") - 1).alias("partition"))
+    homes = o.where("o_orderstatus = 'P'").select("id", F.concat(F.lit("OT"), F.col("y") - 1).alias("partition"))
     return sync.sticky(units, homes).groupBy("partition").agg(F.count("*").alias("n"))
 
 
-@query("select s_suppkey id from supplier where s_suppkey % 3 = 0 and s_suppkey not in (select l_suppkey from lineitem where l_suppkey % 2 = 0)")
+@query("select p_partkey id from part where p_partkey not in (select l_partkey from lineitem where l_returnflag = 'R')")
 def forgotten_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    failures = table(spark, sf_dir, "supplier").where("s_suppkey % 3 = 0").select(F.col("s_suppkey").alias("id"))
-    return sync.forgotten(failures, table(spark, sf_dir, "lineitem").where("l_suppkey % 2 = 0").select(F.col("l_suppkey").alias("id")).distinct(), held=False)
+    failures = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"))
+    return sync.forgotten(failures, table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").select(F.col("l_partkey").alias("id")).distinct(), held=False)
 
 
 @query("""
-with f as (select user_id id, count(*) attempts from events where event_type = 'error' group by 1), n as (select distinct user_id id from events where user_id % 2 = 0)
+with f as (select user_id id, count(*) attempts from events where event_type = 'error' group by 1), n as (select distinct user_id id from events where event_type = 'click')
 select coalesce(f.id, n.id) id, coalesce(f.attempts, 0) + (n.id is not null)::int attempts, n.id is not null failed_now from f full outer join n using (id)""")
 def failure_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     e, old = table(spark, sf_dir, "events"), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
     failures = e.where("event_type = 'error'").groupBy(F.col("user_id").alias("id")).agg(F.count("*").alias("attempts")).withColumn("error", F.lit("x")).withColumn("at", old)
-    failed = e.where("user_id % 2 = 0").select(F.col("user_id").alias("id"), F.lit("y").alias("error")).distinct()
+    failed = e.where("event_type = 'click'").select(F.col("user_id").alias("id"), F.lit("y").alias("error")).distinct()
     now = F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
     return sync.after_failure(failures, failed, now).select("id", "attempts", (F.col("at") == now).alias("failed_now"))
 
@@ -251,7 +251,7 @@ def canonical_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-with n as (select year(o_orderdate) term, sha256(string_agg(o_orderpriority || chr(9) || o_orderkey || chr(10), '' order by o_orderpriority || chr(9) || o_orderkey || chr(10))) s from orders group by 1)
+with n as (select year(o_orderdate) term, count(*) s from orders group by 1)
 select term::int term, case when term % 4 = 0 then 'new' when term % 4 = 1 then 'builder' when term % 4 = 2 then 'sources' else 'dockets due' end reason from n""")
 def rebuild_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("term"), F.col("o_orderpriority").alias("collection"), F.col("o_orderkey").cast("string").alias("sha256"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from parchment import cards
 from parchment.cli import UNITS, build_cases, crawl, download_problems, live_problems, stored_rows, units_of
 from parchment.operators.verify import verify
-from parchment.plans.runner import Run, lease_of, status, sync
+from parchment.plans.runner import Leased, Run, lease_of, status, sync
 from parchment.plans.store import SnapshotStore
 from parchment.plans.sync import Options
 from parchment.sources import extract
@@ -54,6 +54,56 @@ def run(store, spark, site, rows, now, **options):
     return r.counts, manifest, {x.id: x for x in store.read().drop("file").collect()}
 
 
+def test_files_are_asked_about_by_their_headers(spark, tmp_path):
+    store, site = SnapshotStore(spark, f"file://{tmp_path}/s"), Site({f"https://h/{i}": b"%PDF-" + i.encode() for i in "ab"})
+    rows = [("a", "OT1", "A"), ("b", "OT1", "B")]
+    run(store, spark, site, rows, "2026-09-01T00:00:00")
+    site.pages["https://h/b"] = b"%PDF-changed"
+    site.asked.clear()
+    counts, _, stored = run(store, spark, site, rows, "2026-09-02T00:00:00", revalidate_all=True)
+    assert sorted(site.asked) == [("GET", "https://h/b"), ("HEAD", "https://h/a"), ("HEAD", "https://h/b")]
+    assert (counts["replaced"], counts["unchanged"], counts["asked"]) == (1, 1, 2)
+    assert stored["b"].text == "%PDF-changed\f" and {r.checked_at for r in stored.values()} == {"2026-09-02T00:00:00"} and stored["a"].fetched_at == "2026-09-01T00:00:00"
+
+
+def test_partitions_without_a_change_are_left_alone(spark, tmp_path):
+    store, site = SnapshotStore(spark, f"file://{tmp_path}/s"), Site({f"https://h/{i}": b"%PDF-" + i.encode() for i in "abc"})
+    rows = [("a", "OT1", "A"), ("b", "OT2", "B")]
+    _, first, _ = run(store, spark, site, rows, "2026-09-01T00:00:00")
+    counts, second, _ = run(store, spark, site, rows, "2026-09-02T00:00:00")
+    assert counts["partitions"] == 0 and second["partitions"] == first["partitions"] and second["version"] == 2
+    counts, third, _ = run(store, spark, site, [*rows, ("c", "OT2", "C")], "2026-09-03T00:00:00")
+    assert counts["partitions"] == counts["added"] == 1 and third["partitions"]["OT1"] == first["partitions"]["OT1"] and third["partitions"]["OT2"] != first["partitions"]["OT2"]
+
+
+def test_a_run_that_was_cut_off_is_taken_up(spark, tmp_path):
+    store, site = SnapshotStore(spark, f"file://{tmp_path}/s"), Site({f"https://h/{i}": b"%PDF-" + i.encode() for i in "abc"})
+    units = spark.createDataFrame([(i, f"https://h/{i}", "OT1", 2020, None, None, i, "[]", "pdf") for i in "abc"], UNITS)
+
+    class Lost(RuntimeError):
+        pass
+
+    def lose(data):
+        raise Lost
+
+    real, client = store.commit, site.client()
+    store.commit = lambda *_, **__: lose(None)  # the driver goes before it commits
+    with pytest.raises(Lost):
+        sync(store, units, client, Run(now="2026-09-01T00:00:00"), Options(now="2026-09-01 00:00:00", current_term=2025), read_pdf=read_pdf)
+    store.commit, asked = real, len(site.asked)
+    manifest = sync(store, units, client, Run(now="2026-09-01T01:00:00"), Options(now="2026-09-01 01:00:00", current_term=2025), read_pdf=read_pdf)
+    assert len(site.asked) == asked == 3 and manifest["partitions"]["OT1"]["rows"] == 3
+
+
+def test_another_writers_lease_ends_a_run(spark, tmp_path):
+    store, site = SnapshotStore(spark, f"file://{tmp_path}/s"), Site({"https://h/a": b"%PDF-a"})
+    _, manifest, _ = run(store, spark, site, [("a", "OT1", "A")], "2026-09-01T00:00:00")
+    store.commit(store.read().limit(0), manifest, writer={"by": "other", "at": "2026-09-01T00:00:00", "ended": False})
+    with pytest.raises(Leased):
+        run(store, spark, site, [("a", "OT1", "A")], "2026-09-01T00:10:00")
+    assert run(store, spark, site, [("a", "OT1", "A")], "2026-09-01T02:00:00")[1]["version"] == 3
+
+
 def test_runs_one_after_another(spark, tmp_path):
     store = SnapshotStore(spark, f"file://{tmp_path}/s")
     site = Site({f"https://h/{i}": b"%PDF-" + i.encode() for i in "abc"})
@@ -75,7 +125,8 @@ def test_runs_one_after_another(spark, tmp_path):
     site.pages["https://h/a"] = b"%PDF-new"
     counts, manifest, fifth = run(store, spark, site, rows, "2026-09-05T00:00:00", refetch=True)
     assert (counts["replaced"], counts["unchanged"]) == (1, 3) and fifth["b"].fetched_at == "2026-09-01T00:00:00" and fifth["a"].fetched_at == "2026-09-05T00:00:00"
-    assert status(manifest) == {"rows": 4, "listed": 4, "delisted": 0, "file_bytes": 8 + 3 * 6, "failures": 0, "given_up": 0, "whole": True}
+    want = {"rows": 4, "listed": 4, "delisted": 0, "file_bytes": 8 + 3 * 6, "failures": 0, "given_up": 0, "whole": True, "incomplete": 0, "missing": 0, "unreached": 0, "stopped": None, "listed_at": "2026-09-05T00:00:00"}
+    assert status(manifest) == want
     entries = [(k, e["rows"], e["listed"], e["ids_sha256"]) for k, e in manifest["partitions"].items()]
     assert verify(stored_rows(store, manifest), spark.createDataFrame(entries, "partition string, rows long, listed long, ids_sha256 string"), deep=True).count() == 0
 
