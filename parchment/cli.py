@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from parchment import cards
 from parchment.operators.cases import GRANTED, OPINIONS, REPORTS, TRANSCRIPTS, attributed
 from parchment.operators.grouping import seeded_sample, summarize
+from parchment.operators.typed import day_of, typed
 from parchment.operators.verify import verify
 from parchment.plans.casebuild import case_rows, coverage
 from parchment.plans.runner import Run, status, sync
@@ -24,7 +25,7 @@ from parchment.session import local_session, ship
 from parchment.sources.catalog import ABOUT_PAGES, COLLECTIONS, Collection
 from parchment.sources.http import Fetcher
 from parchment.sources.html import main_column, parse
-from parchment.sources.listing import SITE, ListingError, october_term, rules, shown_terms, typed, unlinked_rows
+from parchment.sources.listing import ENTRY, SITE, ListingError, october_term, rules, shown_terms, unlinked_rows
 
 UNITS = "id string, url string, partition string, term int, date string, docket string, title string, entries string, document_type string"
 
@@ -48,7 +49,7 @@ def crawl(collection: Collection, client: Fetcher, today: date) -> tuple[dict[st
             return [], others, 0
         placed = rule.read(main, url, term)
         if term is not None:
-            days = [d for uid, _, e, _ in placed if (d := typed(collection.name, uid, e, today)["date"])]
+            days = [d for _, _, e, _ in placed if (d := day_of(collection.name, e, today))]
             terms = [october_term(date.fromisoformat(d)) for d in days]
             if terms and terms.count(term) * 2 < len(terms):
                 others = sorted(set(terms) - {term})
@@ -71,11 +72,13 @@ def units_of(spark: SparkSession, collection: Collection, found: list[tuple], to
         row = by.setdefault(uid, [url, partition, []])
         row[1] = min(row[1], partition)
         row[2].append(entry)
-    rows = []
-    for uid, (url, partition, entries) in by.items():
-        t = typed(collection.name, uid, entries[0], today)
-        rows.append((uid, url, partition, t["term"], t["date"], t["docket"], t["title"], json.dumps(entries, sort_keys=True, ensure_ascii=False), entries[0].get("document_type")))
-    return spark.createDataFrame(rows, UNITS)
+    names = [x.split(" ")[0].strip("`") for x in ENTRY.split(", ")]
+    rows = [
+        (collection.name, uid, url, partition, json.dumps(entries, sort_keys=True, ensure_ascii=False), entries[0].get("document_type"), {k: entries[0].get(k) for k in names})
+        for uid, (url, partition, entries) in by.items()
+    ]
+    kind = f"collection string, id string, url string, partition string, entries string, document_type string, entry struct<{', '.join(x.replace(' ', ':', 1) for x in ENTRY.split(', '))}>"
+    return typed(spark.createDataFrame(rows, kind), today).select(*(x.split(" ")[0] for x in UNITS.split(", ")))
 
 
 def stored_rows(store: SnapshotStore, manifest: dict) -> DataFrame:

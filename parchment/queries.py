@@ -208,8 +208,8 @@ def docket_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SPELLINGS = [
-    ("141, Orig.", "141, Orig."), ("141-Orig", "141, Orig."), ("143Orig", "143, Orig."), ("105 Orig.", "105, Orig."), ("22O141", "141, Orig."), ("105original", "105, Orig."), ("141_orig", "141, Orig."),
-    ("No. 24-1260", "24-1260"), ("24-38", "24-38"), ("25A1", "25A1"), ("18A142", "18A142"), (" 21-511 ", "21-511"), ("007, Orig.", "7, Orig."), ("", ""),
+    ("17, Orig.", "17, Orig."), ("17-Orig", "17, Orig."), ("18Orig", "18, Orig."), ("19 Orig.", "19, Orig."), ("22O17", "17, Orig."), ("19original", "19, Orig."), ("17_orig", "17, Orig."),
+    ("No. 31-1406", "31-1406"), ("31-9", "31-9"), ("31A2", "31A2"), ("30A88", "30A88"), (" 30-12 ", "30-12"), ("003, Orig.", "3, Orig."), ("", ""),
 ]
 
 

@@ -104,8 +104,8 @@ def printed_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 TOGETHER = [
-    ("*Together with No. 25–250, Trump v. V. O. S., et al., on certiorari before judgment", "25-250"), ("1 Together with No. 70-187, on certiorari", ""), ("Together with No. 12–1183, EPA\f", "12-1183"),
-    ("Together with No. 1-2 without an end", ""), ("Together with Nos. 13A1003 (13–854) and 70----9, also on appeal from x", "13A1003|70-9"), ("", ""),
+    ("*Together with No. 31–14, Lake Board v. Moor, et al., on certiorari to the same court", "31-14"), ("2 Together with No. 31-15, on appeal", ""), ("Together with No. 30–9, Hill\f", "30-9"),
+    ("Together with No. 3-4 that never stops", ""), ("Together with Nos. 30A88 (30–12) and 31----16, also on appeal from y", "30A88|31-16"), ("", ""),
 ]
 
 
@@ -115,10 +115,10 @@ def decided_together(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("footnote", F.array_join(T.decided_with("footnote"), "|").alias("dockets"))
 
 
-GRANTED = "137, Orig. MONTANA V. WYOMING AND NORTH DAKOTA\nOrder: 10/12/10 – Set\n08-1314# CSX WILLIAMSON V. MAZDA MOTOR\nOF AMERICA, INC.\nCourt: CA-CA, 4th\n141, Orig. TEXAS V. NEW MEXICO\n"
+GRANTED = "17, Orig. LAKELAND V. MOORLAND\nOrder: 3/4/31 – Set\n31-14# CSX HILL WORKS V. BAY LINE\nOF HARBOR, INC.\nCourt: CA-XX, 2d\n19, Orig. DALE V. FEN\n"
 
 
-@query(values("docket, title", ("137, Orig.", "MONTANA V. WYOMING AND NORTH DAKOTA"), ("08-1314", "WILLIAMSON V. MAZDA MOTOR OF AMERICA, INC."), ("141, Orig.", "TEXAS V. NEW MEXICO")))
+@query(values("docket, title", ("17, Orig.", "LAKELAND V. MOORLAND"), ("31-14", "HILL WORKS V. BAY LINE OF HARBOR, INC."), ("19, Orig.", "DALE V. FEN")))
 def granted_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(GRANTED,)], "t string").select(F.explode(T.granted_titles("t")).alias("g")).select("g.docket", "g.title")
 

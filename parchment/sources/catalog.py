@@ -66,6 +66,7 @@ def _c(name: str, title: str, category: str, *pages: Pages | str, label: str = "
     return Collection(name, title, category, tuple(Pages(p) if isinstance(p, str) else p for p in pages), label, mutable, html)
 
 
+# ---- fixed values: names, titles and addresses of the collections
 COLLECTIONS = {
     c.name: c
     for c in (

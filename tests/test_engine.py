@@ -11,7 +11,7 @@ from parchment.operators.cases import assemble, attributed
 from parchment.plans import sync
 from parchment.plans.store import SnapshotStore, Superseded
 from parchment.schema import DOCUMENTS, conform, differences
-from parchment.sources.dockets import docket_page
+from parchment.sources.dockets import parse_dockets
 from parchment.sources.http import Blocked, Disallowed, Fetcher, QuotaExhausted, Response, Unavailable
 from parchment.streaming import sync_stream
 
@@ -116,13 +116,20 @@ def test_attribution(spark):
     assert (cases["19-1"].case_name, cases["19-1"].opinions, cases["19-1"].transcripts, cases["19-77"].case_name) == ("E v. F", 1, 1, "LATER V. CASE")
 
 
-def test_docket_page():
-    html = b"""<div id="pagemaindiv"><table id="docketinfo"><tr><td>No. 25A1</td></tr><tr><td>Title:</td><td>A, Applicant<br>v.<br>B</td></tr><tr><td>Docketed:</td><td>July 1, 2025</td></tr><tr><td>Lower Ct:</td><td>X Court</td></tr><tr><td>&nbsp;&nbsp;Case Numbers:</td><td>(24-1)</td></tr></table>
-    <table><tr><td class="ProceedingDate">Jun 27 2025</td><td>Application filed.<span class="documentlinks"><a href=https://h/a.pdf>Main</a></span></td></tr></table><div id="Contacts">Attorneys<br>Someone</div></div>"""
-    d = docket_page(html, "https://h/x")
-    assert (d["docket"], d["case_name"], d["docketed_date"], d["lower_court"], d["lower_court_case_numbers"], d["attorneys"]) == ("25A1", "A, Applicant v. B", "2025-07-01", "X Court", ["(24-1)"], "Someone")
-    assert d["proceedings"] == [{"date": "2025-06-27", "text": "Application filed.", "documents": [{"title": "Main", "url": "https://h/a.pdf"}]}]
-    assert not docket_page(b"<title>404 - Page Not Found</title>", "u")["found"] and not docket_page(b"x", "u", 404)["found"]
+def test_docket_pages(spark):
+    newer = b"""<div id="pagemaindiv"><table><tr><td>No. 31A7</td></tr><tr><td>Title:</td><td>Quill &amp; Co., Applicant<br>v.<br>Harbor Board</td></tr><tr><td>Docketed:</td><td>March 3, 2031</td></tr>
+    <tr><td>Linked with:</td><td>31A6</td></tr><tr><td>Lower Ct:</td><td>Court of Northmoor</td></tr><tr><td>&nbsp;&nbsp;Case Numbers:</td><td>(30-55)</td></tr><tr><td>&nbsp;&nbsp;Decision Date:</td><td>January 9, 2031</td></tr></table><a href="qp.pdf">Questions Presented</a>
+    <table><tr><td>Mar 03 2031</td><td>Request lodged.<span class="documentlinks"><a href=https://h/r.pdf>Request</a></span></td></tr><tr><td>no date</td><td>x</td></tr></table><div id="Contacts">Attorneys<br>Ann Lee</div></div>"""
+    older = b"<table><tr><td>No. 01-2</td></tr></table><table><tr><td>Attorneys for Petitioner:</td></tr><tr><td>~~~~</td></tr><tr><td>B. Roe&nbsp;</td></tr></table> caf\xe9"
+    rows = [("https://h/d/n", newer, 200), ("https://h/o", older, 200), ("u1", b"<title>404 - Page Not Found</title>", 200), ("u2", b"x", 404)]
+    got = {r.url: r for r in parse_dockets(spark.createDataFrame(rows, "url string, html binary, status int")).collect()}
+    d = got["https://h/d/n"]
+    assert (d.docket, d.case_name, d.docketed_date, d.linked_with, d.lower_court) == ("31A7", "Quill & Co., Applicant v. Harbor Board", "2031-03-03", "31A6", "Court of Northmoor")
+    assert (d.lower_court_case_numbers, d.lower_court_decision_date, d.questions_presented_url, d.attorneys) == (["(30-55)"], "2031-01-09", "https://h/d/qp.pdf", "Ann Lee")
+    assert [(p.date, p.text, [tuple(x) for x in p.documents]) for p in d.proceedings] == [("2031-03-03", "Request lodged.", [("Request", "https://h/r.pdf")])]
+    o = got["https://h/o"]
+    assert (o.found, o.docket, o.attorneys, o.case_name, o.proceedings) == (True, "01-2", "Attorneys for Petitioner:\nB. Roe", None, []) and "caf\u00e9" in o.text
+    assert not got["u1"].found and not got["u2"].found and got["u2"].text is None
 
 
 def client(*statuses, headers=None):
