@@ -553,15 +553,53 @@ def test_passage_edges(spark):
     assert suffix_dedup.deduplicated(empty(spark)).count() == 0 and suffix_dedup.deduplicated(hard(spark)).count() == len(HARD)
 
 
-@pytest.mark.parametrize("pair", [("2440063", "3613805"), ("0581957", "0784145")])
-def test_covers_that_agree_in_40_bits_are_no_repeats(spark, pair):
-    head = "ahceaeaggfhabfhbbcafhbcghbadecdgdbachbhf" + "z" * 53
-    rows = [(k, head + x) for k, x in enumerate(pair)]
-    *_, key, gram, cover = (np.concatenate(x) for x in zip(*(suffix_dedup.anchors(np.frombuffer(t.encode(), np.uint8), np.array([0, 100])) for _, t in rows), strict=True))
-    assert key[0] == key[1] and gram[0] == gram[1] and cover[0] != cover[1]
+def test_covers_that_agree_in_the_first_hash_are_no_repeats(spark, monkeypatch):
+    """With the first hash blind, the second one tells texts of equal beginnings apart."""
+    rng = random.Random(9)
+    head = "".join(rng.choice("abcdefgh") for _ in range(93))
+    rows = [(k, head + x) for k, x in enumerate(("2440063", "3613805", "2440063"))]
+    buf, off = np.frombuffer("".join(t for _, t in rows).encode(), np.uint8), np.arange(4) * 100
+    _, at, low, high = suffix_dedup.anchors(buf, off)
+    *words, cover, cover2 = suffix_dedup.signed(buf, suffix_dedup.byte_codes(5), at, low, high)
+    assert all(w[0] == w[1] == w[2] for w in words) and cover[0] == cover[2] != cover[1] and cover2[0] == cover2[2] != cover2[1]
+    assert bytes(buf[at[0] : at[0] + 40]) == b"".join(int(w[0]).to_bytes(8, "big") for w in words)
     assert sorted(map(tuple, suffix_dedup.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str) == brute_removed(rows)
 
 
+def test_multikey_sort_and_buckets():
+    rng = np.random.default_rng(6)
+    words = tuple(rng.integers(0, 3, 500).astype(np.uint64) for _ in range(4))
+    order, new = suffix_dedup.multikey_sort(words)
+    tuples = list(zip(*(w.tolist() for w in words), strict=True))
+    ordered = [tuples[i] for i in order]
+    assert ordered == sorted(tuples) and new.tolist() == [i == 0 or ordered[i] != ordered[i - 1] for i in range(500)]
+    assert suffix_dedup.multikey_sort(tuple(w[:0] for w in words))[0].size == 0
+    for n in (0, 1, 9):
+        cuts = np.array(sorted(set(rng.choice(len(tuples), n).tolist())))
+        cuts = sorted({tuples[i] for i in cuts})
+        got = suffix_dedup.bucket_of(words, np.array(cuts, np.uint64).reshape(-1, 4))
+        assert got.tolist() == [sum(c <= t for c in cuts) for t in tuples]
+
+
+def test_a_group_that_crosses_borders_is_compared_across_them(spark, monkeypatch):
+    """One passage with many continuations, cut into buckets inside its group; ids are null or repeated for many rows."""
+    rng = random.Random(19)
+    passage = "".join(rng.choice("abcdefg ") for _ in range(180))
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, passage + "".join(rng.choice("uvwxyz ") for _ in range(120))) for i in range(60)]
+    rows += [(100, rows[5][1][150:290] + "end"), (101, passage)]
+    real = suffix_dedup.splitters_of
+
+    def every(docs, n_bytes, buckets, codes):
+        return real(docs, 0, buckets, codes)  # all suffixes are sampled
+
+    monkeypatch.setattr(suffix_dedup, "splitters_of", every)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for size in (300, 3000):
+        assert sorted(map(tuple, suffix_dedup.deduplicated(df, bucket_bytes=size).collect()), key=str) == brute_removed(rows)
+    names = df.select(F.xxhash64("doc_id", "text").alias("r")).toPandas().r.to_numpy().view(np.uint64)
+    assert np.bincount(suffix_dedup._doc_bucket(names, 6), minlength=6).max() < 25  # null and repeated ids are spread
+
+
 # ---- 7 packing
 
 
