@@ -386,7 +386,7 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", bucke
     buckets = tasks_for(n_bytes, bucket_bytes)
     codes = byte_codes(secrets.randbits(63))
     cuts = splitters_of(rows, n_bytes, buckets, codes)
-    by_kind = lambda df: df.repartitionById(2 * buckets, (F.col("kind") * buckets + F.col("bucket")).cast("int")).groupBy("kind", "bucket")
+    by_kind = lambda df: df.withColumn("part", F.col("kind") * buckets + F.col("bucket")).repartitionById(2 * buckets, "part").groupBy("part")
     passed = lambda t: pa.concat_tables([_sorted_rows(FOUND, b) for b in t.select(["bucket", "blob"]).to_batches()])
     raw = rows.mapInArrow(_find_anchors(cuts, buckets, codes), _STEP)
     step = cut(by_kind(raw).applyInArrow(_by_kind(_sort_bucket(buckets), passed), _SORTED), "anchors")
@@ -400,8 +400,8 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", bucke
         return pa.array(_doc_bucket(names.to_numpy().view(U64), buckets))
 
     place.__annotations__ = {"names": pa.Array, "return": pa.Array}
-    placed = rows.withColumn("bucket", F.arrow_udf(place, "int")("row")).repartition(buckets, "bucket")
-    windows = placed.groupBy("bucket").cogroup(found.repartition(buckets, "bucket").groupBy("bucket")).applyInArrow(_open_windows(buckets, codes), _STEP)
+    placed = rows.withColumn("bucket", F.arrow_udf(place, "int")("row")).repartitionById(buckets, "bucket")
+    windows = placed.groupBy("bucket").cogroup(found.repartitionById(buckets, "bucket").groupBy("bucket")).applyInArrow(_open_windows(buckets, codes), _STEP)
     more = by_kind(windows).applyInArrow(_by_kind(_sort_windows(buckets), lambda t: t.select(["bucket", "blob"])), BLOBS)
     # one query with the step before, so the documents' exchange serves both
-    return placed.groupBy("bucket").cogroup(found.unionByName(more).repartition(buckets, "bucket").groupBy("bucket")).applyInArrow(_remove, RESULT)
+    return placed.groupBy("bucket").cogroup(found.unionByName(more).repartitionById(buckets, "bucket").groupBy("bucket")).applyInArrow(_remove, RESULT)
