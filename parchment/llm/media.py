@@ -43,7 +43,7 @@ MANIFEST = "_manifest"
 _SIGNATURE = b"\x89PNG\r\n\x1a\n"
 _LOCAL = struct.Struct("<4s5H3L2H")
 MEMBERS = "path string, member string, offset long, media binary, error string"
-FEATURES = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+FEATURES = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, error string"
 
 
 def pad(data: bytes) -> bytes:
@@ -160,6 +160,7 @@ class MediaArchiveReader(DataSourceReader):
         self.keep = options.get("onError", "fail") == "keep"
 
     def partitions(self) -> list[ByteRange]:
+        """Ranges of the archives that the manifest names: a name and a size for each archive, and an offset for each range."""
         from pyarrow import fs as pfs
 
         fs, path = resolve(self.folder)
@@ -242,24 +243,26 @@ def read_archives(spark: SparkSession, folder: str, **options: str) -> DataFrame
 
 
 def describe(members: DataFrame) -> DataFrame:
-    """What each member holds, computed from the stored bytes; columns FEATURES."""
+    """What each member holds, computed from the stored bytes; columns FEATURES.  A member that can't be read has its error."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.split()[0] for x in FEATURES.split(", ")]
         types = [pa.int64() if x.endswith("long") else pa.string() for x in FEATURES.split(", ")]
         for b in batches:
             rows = []
-            for member, media in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                if media is None:
+            for member, media, error in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                doc_id = os.path.basename(member).rpartition("-")[0]
+                doc_id = None if doc_id == "None" else int(doc_id)
+                if media is None:  # a damaged member is a row too
+                    rows.append((doc_id, *[None] * (len(names) - 2), error))
                     continue
                 samples, n_bytes = decode_png(media)
                 payload = samples.tobytes()
-                doc_id = os.path.basename(member).rpartition("-")[0]
-                rows.append((None if doc_id == "None" else int(doc_id), n_bytes, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(media), hashlib.sha256(media).hexdigest(), feature(samples)))
+                rows.append((doc_id, n_bytes, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(media), hashlib.sha256(media).hexdigest(), feature(samples), None))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
 
-    return members.select("member", "media").mapInArrow(run, FEATURES)
+    return members.select("member", "media", "error").mapInArrow(run, FEATURES)
 
 
 def round_trip(docs: DataFrame, folder: str | None = None) -> DataFrame:
