@@ -38,16 +38,18 @@ from parchment.llm.tokens import Encoder
 WINDOW = 2048
 END_ID = 1
 SLOTS_LOG2 = 18
-SLICE = 1 << 12
+SLICE = 1 << 14
 SHARD_BYTES = 8 << 20
 #: Neighbours that are found at first; a window takes few, and more are ranked when it asks.
 FIRST = 16
+#: Terms of more than an eighth of a shard's documents that are kept as rows of weights, and weights in all of them.
+COMMON, COMMON_WEIGHTS = 256, 4 << 20
 #: Bytes of text that are encoded at once; more share more pieces.
 ENCODED_AT_ONCE = 2_000_000
 #: Subjects, dimensions of the vectors that they are told by, and documents that their centroids are fitted on.
 CLUSTERS, DIMENSIONS, FIT_ROWS = 64, 512, 4096
 #: Documents whose place in the order is collected for splitters, and ranges that splitters cut at most.
-SPLIT_ROWS, RANGES = 50_000, 4096
+SPLIT_ROWS, RANGES = 25_000, 4096
 #: Bits of an order key below the subject: heaviest term, hash of the row, and a salt that splits equal rows.
 HASH_BITS, SALT_BITS = 28, 10
 K1, B = 1.2, 0.75
@@ -115,19 +117,29 @@ class Index:
         norm = (K1 * (1 - B + B * length / max(mean, 1e-9))).astype(np.float32)
         weight = idf[slot] * count * np.float32(K1 + 1) / (count + norm[doc])
         del count, shared
+        # as given, by document and slot
+        self.slot, self.own_at = slot.astype(np.int32), np.searchsorted(doc, np.arange(self.n + 1))
+        # terms that many documents have are rows of weights, the others lists
+        common = np.flatnonzero(local > self.n // 8)
+        common = common[np.argsort(-local[common], kind="stable")][: min(COMMON, COMMON_WEIGHTS // max(self.n, 1))]
+        self.common = np.full(1 << SLOTS_LOG2, -1, np.int32)
+        self.common[common] = np.arange(len(common))
+        here = self.common[slot] >= 0
+        self.rows = np.zeros((len(common), self.n), np.float32)
+        self.rows[self.common[slot[here]], doc[here]] = weight[here]
+        doc, slot, weight = doc[~here], slot[~here], weight[~here]
         order = np.argsort(slot, kind="stable")
         self.doc, self.weight = doc[order].astype(np.int64), weight[order].astype(float)  # as sums want them
         self.at = np.concatenate(([0], np.cumsum(np.bincount(slot, minlength=1 << SLOTS_LOG2))))
-        del order
-        # as given, by document and slot
-        self.slot, self.own_at = slot.astype(np.int32), np.searchsorted(doc, np.arange(self.n + 1))
 
     def scores(self, seed: int) -> np.ndarray:
         """Every document's score over all of the seed's terms, added in one order, so that equal documents tie."""
         terms = self.slot[self.own_at[seed] : self.own_at[seed + 1]]
+        common = self.common[terms]
+        terms = terms[common < 0]
         low, n = self.at[terms], self.at[terms + 1] - self.at[terms]
         k = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        return np.bincount(self.doc[k], self.weight[k], self.n)
+        return np.bincount(self.doc[k], self.weight[k], self.n) + self.rows[common[common >= 0]].sum(axis=0)
 
     def compact(self, unused: np.ndarray) -> None:
         """Drop postings of used documents, which nothing asks for again."""
@@ -319,7 +331,7 @@ def dealt(rows: DataFrame, df: np.ndarray, idf: np.ndarray, mean: float, n_docs:
         return rows.withColumn("shard", F.lit(0)), 1
     order = Order(idf, mean, df, -(-n_docs // shards))
     h = F.xxhash64("doc_id", "text")
-    few = lambda n: rows.where(F.pmod(F.xxhash64(h), F.lit(1 << 30)) < int(min(1.2 * n / n_docs, 1) * (1 << 30)))
+    few = lambda n: rows.where(F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(1 << 30)) < int(min(1.2 * n / n_docs, 1) * (1 << 30)))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
