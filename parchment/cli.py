@@ -124,7 +124,7 @@ def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="parchment")
     p.add_argument("command", choices=("list", "run", "verify", "card", "summarize", "cases"))
     p.add_argument("--dataset", action="append", choices=tuple(COLLECTIONS), help="default: all")
-    p.add_argument("--store", default="file:///tmp/parchment-store")
+    p.add_argument("--store", required=True, help="a folder that driver and executors share")
     p.add_argument("--budget-minutes", type=float, default=300.0)
     p.add_argument("--max-units", type=int)
     p.add_argument("--partitions")
