@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parchment.llm import decontaminate, language_id, media, minhash, packing, pii, secrets, suffix_dedup, toxicity, warc
+from parchment.llm import collocations, decontaminate, embedding_dedup, hamerly, language_id, media, minhash, packing, pii, secrets, suffix_dedup, toxicity, warc
 from parchment.llm.common import crc_mod, table
+from parchment.llm.corpus_sql import clusters_sql, collocations_sql, grouped_sql
 from parchment.llm.span_sql import PII, SECRETS
 from parchment.llm.spans import digest
 
@@ -77,6 +78,18 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _counted(pii.with_spans(docs, out="found").drop("text"), "found", pii.BASE_KINDS, F.array_join(F.transform("found", lambda s: s["score"].cast("string")), ",").alias("scores"))
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hamerly.clusters(table(spark, sf_dir, "embeddings"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
+def op13_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.grouped(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_toxicity": op2_toxicity,
@@ -88,6 +101,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_secret_scan": op9_secret_scan,
     "op10_pii": op10_pii,
+    "op11_centroid_clustering": op11_centroid_clustering,
+    "op12_collocations": op12_collocations,
+    "op13_embedding_dedup": op13_embedding_dedup,
 }
 
 _HEX = "'0x' || substr(d, {0}, 5)"
@@ -117,4 +133,7 @@ select page_id, payload_bytes, {_BASE32} payload_digest,
 from r""",
     "op9_secret_scan": SECRETS,
     "op10_pii": PII,
+    "op11_centroid_clustering": clusters_sql(),
+    "op12_collocations": collocations_sql(),
+    "op13_embedding_dedup": grouped_sql(),
 }

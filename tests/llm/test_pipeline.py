@@ -51,14 +51,14 @@ def test_run(spark):
 
 def test_registered():
     names = set(__spark_entry__.queries())
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)} and "pipeline" in names
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)} and "pipeline" in names
     assert set(entries.QUERIES) <= names
 
 
 @pytest.mark.parametrize("name", sorted(entries.ORACLE))
 def test_against_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels"):
+    for t in ("documents", "embeddings", "pages", "benchmark", "labels"):
         con.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
     df, want = __spark_entry__.queries()[name](spark, SF), con.sql(entries.ORACLE[name])
     assert sorted(df.columns) == sorted(want.columns)
