@@ -19,8 +19,10 @@ text, so only suffixes at anchors are sorted, and they decide for all others:
 Every step first keeps the earliest of equal records in its own batch, so a passage that a third of all
 documents share reaches a bucket once a batch, not once a document.  Records travel packed.
 
-Leading bytes are compared as they are.  Covers and windows are compared by 128 bits of two polynomial hashes, one of
-which is drawn anew for each run: the bytes themselves would be five times what may be written (see the README).
+Leading bytes are compared as they are.  Covers and windows, 100 to 160 bytes, are compared by four polynomials modulo the prime
+2^31 - 1 at places drawn anew for each run: two unequal ones agree in a polynomial at less than 160 of its 2^31 places, so in all four
+with a probability below 2^-94, whatever the texts (they are given before the places are drawn).  That is not a comparison
+of bytes, which would be five times what may be written (see the README).
 
 A row is known by a hash of its id and text, so rows that lack or repeat an id are spread like others.
 
@@ -42,7 +44,7 @@ from pyspark.sql import functions as F
 
 from parchment.llm.common import cut, tasks_for
 from parchment.llm.packed import BLOBS, dealt, joined
-from parchment.llm.textbuf import U64, chunks, mix, powers, prefix_hash, run_starts, span_hash
+from parchment.llm.textbuf import U64, chunks, mix, powers, prefix_hash, run_starts
 
 LENGTH = 100
 GRAM = 40
@@ -62,16 +64,57 @@ _SORTED = f"kind int, {BLOBS}, border long, lead binary"
 FOUND, EDGE, END = 1, 2, 3
 
 
-def byte_codes(seed: int) -> np.ndarray:
-    """Values of bytes in a run's second hash."""
-    return np.random.Generator(np.random.PCG64(seed)).integers(1, 2**64 - 1, 256, dtype=U64)
-
-
-def _prefix(buf: np.ndarray, codes: np.ndarray) -> np.ndarray:
-    """prefix_hash() with other values of bytes."""
-    out = np.zeros(len(buf) + 1, U64)
-    np.cumsum(codes[buf] * powers("up", len(buf)), out=out[1:])
-    return out
+PRIME = U64((1 << 31) - 1)
+#: Bytes of text that are named at once.
+NAMED_BYTES = 1 << 18
+_tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def drawn_bases() -> tuple[int, ...]:
+    """Places of a run's four polynomials."""
+    return tuple(2 + secrets.randbelow(int(PRIME) - 2) for _ in range(4))
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """x modulo PRIME."""
+    for _ in range(2):
+        x = (x & PRIME) + (x >> U64(31))
+    return np.where(x >= PRIME, x - PRIME, x)
+
+
+def _base_powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(base**i, base**-i) modulo PRIME, kept for the next call."""
+    got = _tables.get(base)
+    if got is None or len(got[0]) < n:
+        if len(_tables) > 8:  # of runs before
+            _tables.clear()
+        got = []
+        for b in (base, pow(base, -1, int(PRIME))):
+            a, step = np.ones(1, U64), b
+            while len(a) < n:
+                a, step = np.concatenate((a, _reduced(a * U64(step)))), step * step % int(PRIME)
+            got.append(a)
+        got = _tables[base] = tuple(got)
+    return got[0][:n], got[1][:n]
+
+
+def span_names(buf: np.ndarray, low: np.ndarray, high: np.ndarray, bases: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """Two words that name the bytes of each span, low being sorted: the values of a polynomial at each of the bases."""
+    out = np.zeros((2, len(low)), U64)
+    edges = np.searchsorted(low, np.arange(0, len(buf) + 1, NAMED_BYTES))
+    for a, b in zip(edges, np.append(edges[1:], len(low)), strict=True):
+        if a == b:
+            continue
+        base, end = int(low[a]), int(high[a:b].max())
+        s, e, part = low[a:b] - base, high[a:b] - base, buf[base:end].astype(U64) + U64(1)
+        total = np.zeros(len(part) + 1, U64)
+        for k, place in enumerate(bases):
+            up, down = _base_powers(place, max(len(part), NAMED_BYTES + 256))
+            x = part * up[: len(part)]
+            np.cumsum((x & PRIME) + (x >> U64(31)), out=total[1:])
+            value = _reduced(_reduced(total[e] - total[s]) * down[s])
+            out[k // 2, a:b] = (out[k // 2, a:b] << U64(31)) | value
+    return out[0], out[1]
 
 
 def multikey_sort(words: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray]:
@@ -120,12 +163,12 @@ def anchors(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, ...]:
     return doc, at, low, high
 
 
-def signed(buf: np.ndarray, codes: np.ndarray, at: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, ...]:
+def signed(buf: np.ndarray, codes: tuple[int, ...], at: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, ...]:
     """(WORDS of the leading bytes, two hashes of what the windows cover and where) of anchors."""
     lead = buf[at[:, None] + np.arange(GRAM)].reshape(-1, len(WORDS), 8).view(">u8")[..., 0].astype(U64) if len(at) else np.zeros((0, len(WORDS)), U64)
     place = (at - low).astype(U64) * U64(131) + (high - low).astype(U64)
-    hashes = (mix(span_hash(p, low, high + LENGTH) + place) for p in (prefix_hash(buf), _prefix(buf, codes)))
-    return (*lead.T.copy(), *hashes)
+    one, two = span_names(buf, low, high + LENGTH, codes)
+    return (*lead.T.copy(), mix(one ^ (place << U64(48))), mix(two ^ (place << U64(48))))
 
 
 def _earliest(keys: tuple[np.ndarray, ...], doc: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -176,7 +219,7 @@ def _found(row: np.ndarray, start: np.ndarray, n: np.ndarray, open_: bool, bucke
     return dealt(_doc_bucket(row, buckets), row=row, start=start.astype(np.uint32), n=n.astype(np.uint8), open=np.full(len(row), open_))
 
 
-def _find_anchors(cuts: np.ndarray, buckets: int, codes: np.ndarray):
+def _find_anchors(cuts: np.ndarray, buckets: int, codes: tuple[int, ...]):
     """docs -> anchors by bucket (kind 0); repeats found within the batch, by document bucket (FOUND)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,7 +313,7 @@ def _fits(start: np.ndarray, n: np.ndarray, row: np.ndarray, off: np.ndarray) ->
     return start.astype(np.int64) + n + LENGTH <= (off[1:] - off[:-1])[row]
 
 
-def _open_windows(buckets: int, codes: np.ndarray):
+def _open_windows(buckets: int, codes: tuple[int, ...]):
     """Documents and what was found -> the open windows' keys, by bucket of the key (kind 0), repeats here (kind 1)."""
 
     def run(_key, docs: pa.Table, found: pa.Table) -> pa.Table:
@@ -295,13 +338,12 @@ def _open_windows(buckets: int, codes: np.ndarray):
                 base = place[k[0]]
                 part = buf[base : place[k[-1]] + LENGTH]
                 p = place[k] - base
-                one[k] = span_hash(prefix_hash(part), p, p + LENGTH)
-                two[k] = span_hash(_prefix(part, codes), p, p + LENGTH)
+                one[k], two[k] = span_names(part, p, p + LENGTH, codes)
             order, later = _earliest((one, two), doc, start)
             lost, keep = order[later], np.sort(order[~later])
             if len(lost):
                 out.append(_kind(FOUND, _found(name[lost], start[lost], np.zeros(len(lost)), False, buckets)))
-            bucket = ((one[keep] >> U64(32)) * U64(buckets) >> U64(32)).astype(np.int32)
+            bucket = ((mix(one[keep]) >> U64(32)) * U64(buckets) >> U64(32)).astype(np.int32)
             out.append(_kind(0, dealt(bucket, one=one[keep], two=two[keep], doc=doc[keep], row=name[keep], at=start[keep].astype(np.uint32))))
         return pa.Table.from_batches(out, pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("blob", pa.binary())]))
 
@@ -352,7 +394,7 @@ def _kept(buf: np.ndarray, off: np.ndarray, begin: np.ndarray, end: np.ndarray)
     return np.diff(off), removed, runs[off[1:]] - runs[off[:-1]], np.array(digests, object)
 
 
-def splitters_of(rows: DataFrame, n_bytes: int, buckets: int, codes: np.ndarray) -> np.ndarray:
+def splitters_of(rows: DataFrame, n_bytes: int, buckets: int, codes: tuple[int, ...]) -> np.ndarray:
     """Different suffixes, WORDS and cover a row, that cut a bounded sample of them evenly; they steer balance, never the result."""
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -384,7 +426,7 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", bucke
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).select("doc_id", F.xxhash64("doc_id", "text").alias("row"), "text")
     n_bytes = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = tasks_for(n_bytes, bucket_bytes)
-    codes = byte_codes(secrets.randbits(63))
+    codes = drawn_bases()
     cuts = splitters_of(rows, n_bytes, buckets, codes)
     by_kind = lambda df: df.withColumn("part", F.col("kind") * buckets + F.col("bucket")).repartitionById(2 * buckets, "part").groupBy("part")
     passed = lambda t: pa.concat_tables([_sorted_rows(FOUND, b) for b in t.select(["bucket", "blob"]).to_batches()])

@@ -564,7 +564,7 @@ def test_covers_that_agree_in_the_first_hash_are_no_repeats(spark, monkeypatch):
     rows = [(k, head + x) for k, x in enumerate(("2440063", "3613805", "2440063"))]
     buf, off = np.frombuffer("".join(t for _, t in rows).encode(), np.uint8), np.arange(4) * 100
     _, at, low, high = suffix_dedup.anchors(buf, off)
-    *words, cover, cover2 = suffix_dedup.signed(buf, suffix_dedup.byte_codes(5), at, low, high)
+    *words, cover, cover2 = suffix_dedup.signed(buf, suffix_dedup.drawn_bases(), at, low, high)
     assert all(w[0] == w[1] == w[2] for w in words) and cover[0] == cover[2] != cover[1] and cover2[0] == cover2[2] != cover2[1]
     assert bytes(buf[at[0] : at[0] + 40]) == b"".join(int(w[0]).to_bytes(8, "big") for w in words)
     assert sorted(map(tuple, suffix_dedup.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str) == brute_removed(rows)
