@@ -2,7 +2,8 @@
 
 Byte-level BPE first splits a text by the vocabulary's pattern and then merges within each piece, so a piece's ids don't
 depend on the text around it.  Pieces of a batch are found by vector operations, and only those that a worker
-hasn't seen lately are encoded.  Texts with characters whose class may differ between Unicode versions, or with
+hasn't seen lately are encoded.  A piece of up to 15 bytes is told by its bytes and length, as two words; a hash of them finds where it is
+kept, and the words are compared there.  Longer pieces are kept by their bytes.  Texts with characters whose class may differ between Unicode versions, or with
 the name of a special token, go to the tokenizers library whole.
 """
 
@@ -14,13 +15,15 @@ from itertools import chain
 
 import numpy as np
 
-from parchment.llm.textbuf import U64, prefix_hash, run_starts, span_hash
+from parchment.llm.textbuf import U64, mix, run_starts
 
 #: Characters below this are classed by table; blocks above still gain characters.
 KNOWN = 0x3000
 SPACE, LETTER, NUMBER, OTHER, UNSURE = range(5)
-#: Pieces whose ids are kept, some 25 bytes each, and the latest of them, which are merged with the others when so many.
+#: Pieces whose ids are kept, some 40 bytes each, and the latest of them, which are merged with the others when so many.
 CACHE_PIECES, LATEST = 1_500_000, 1 << 16
+#: Bytes of a piece that two words and its length hold; longer pieces kept at most.
+SHORT, LONG_PIECES = 15, 200_000
 SPECIAL = "<|endoftext|>"
 
 _table: np.ndarray | None = None
@@ -82,20 +85,23 @@ class Encoder:
     def _clear(self) -> None:
         self.pool, self.used = np.zeros(1 << 18, np.uint32), 0
         self.begin, self.size, self.known = np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int32), 0
+        self.words, self.long = np.zeros((1 << 16, 2), U64), {}
         # sorted names of pieces and where they are kept: all but the latest, and the latest
         self.levels = [(np.zeros(0, U64), np.zeros(0, np.int32)) for _ in range(2)]
 
-    def _kept(self, names: np.ndarray) -> np.ndarray:
-        """Where pieces are kept, by their sorted names; -1 for those that aren't."""
+    def _kept(self, names: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(where pieces are kept, by their sorted names; -1 for those that aren't; whether another piece has the name)."""
         out = np.full(len(names), -1, np.int64)
         for have, slots in self.levels:
             if len(have):
                 at = np.minimum(np.searchsorted(have, names), len(have) - 1)
                 out = np.where(have[at] == names, slots[at], out)
-        return out
+        other = (out >= 0) & (self.words[out] != words).any(1)
+        out[other] = -1
+        return out, other
 
-    def _keep(self, names: np.ndarray, found: list[list[int]]) -> np.ndarray:
-        """Keep the ids of new pieces; returns where."""
+    def _keep(self, names: np.ndarray, words: np.ndarray, found: list[list[int]], named: np.ndarray) -> np.ndarray:
+        """Keep the ids of new pieces; returns where.  Only those that are named are found again."""
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         total = int(sizes.sum())
         self.pool = _room(self.pool, self.used + total)
@@ -103,12 +109,43 @@ class Encoder:
         self.begin, self.size = _room(self.begin, self.known + len(names)), _room(self.size, self.known + len(names))
         slots = np.arange(self.known, self.known + len(names), dtype=np.int32)
         self.begin[slots], self.size[slots] = self.used + np.cumsum(sizes) - sizes, sizes
+        if len(self.words) < len(self.begin):
+            self.words = np.concatenate((self.words, np.zeros((len(self.begin) - len(self.words), 2), U64)))
+        self.words[slots] = words
         self.used, self.known = self.used + total, self.known + len(names)
-        self.levels[1] = _merged(*self.levels[1], names, slots)
+        self.levels[1] = _merged(*self.levels[1], names[named], slots[named])
         if len(self.levels[1][0]) > LATEST:
             self.levels = [_merged(*self.levels[0], *self.levels[1]), (np.zeros(0, U64), np.zeros(0, np.int32))]
         return slots
 
+    def _slots(self, buf: np.ndarray, data: bytes, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Where the ids of every piece are kept; new ones are encoded."""
+        core, size = self.fast._core_bpe.encode_ordinary, high - low
+        ids = lambda of: [core(data[a:b].decode()) for a, b in zip(low[of].tolist(), high[of].tolist(), strict=True)]
+        out = np.empty(len(low), np.int64)
+        short = np.flatnonzero(size <= SHORT)
+        words = short_words(buf, low[short], size[short])
+        h = mix(words[:, 0] ^ mix(words[:, 1]))
+        first, inverse = _grouped(h)
+        alike = (words[first[inverse]] == words).all(1)
+        slot, other = self._kept(h[first], words[first])
+        new = np.flatnonzero(slot < 0)
+        if len(new):
+            slot[new] = self._keep(h[first[new]], words[first[new]], ids(short[first[new]]), ~other[new])
+        out[short] = slot[inverse]
+        apart = short[~alike]  # another piece of this batch has the same hash
+        if len(apart):
+            out[apart] = self._keep(h[~alike], words[~alike], ids(apart), np.zeros(len(apart), bool))
+        long = np.flatnonzero(size > SHORT)
+        if len(long):
+            texts = [data[a:b] for a, b in zip(low[long].tolist(), high[long].tolist(), strict=True)]
+            fresh = [t for t in dict.fromkeys(texts) if t not in self.long]
+            if fresh:
+                kept = self._keep(np.zeros(len(fresh), U64), np.zeros((len(fresh), 2), U64), [core(t.decode()) for t in fresh], np.zeros(len(fresh), bool))
+                self.long.update(zip(fresh, kept.tolist(), strict=True))
+            out[long] = [self.long[t] for t in texts]
+        return out
+
     def by_library(self, text: str) -> list[int]:
         if self.whole is None:
             from tokenizers import Tokenizer
@@ -134,16 +171,9 @@ class Encoder:
             at = data.find(mark, at + 1)
         low = byte_at[start]
         high = np.append(low[1:], len(buf))
-        h = span_hash(prefix_hash(buf), low, high)
-        keys, inverse = _grouped(h)
-        if self.known + len(keys) > CACHE_PIECES or self.used > CACHE_PIECES * 4:
+        if self.known > CACHE_PIECES or self.used > CACHE_PIECES * 4 or len(self.long) > LONG_PIECES:
             self._clear()
-        slot = self._kept(h[keys])
-        new = np.flatnonzero(slot < 0)
-        if len(new):
-            core = self.fast._core_bpe.encode_ordinary
-            slot[new] = self._keep(h[keys[new]], [core(data[a:b].decode()) for a, b in zip(low[keys[new]].tolist(), high[keys[new]].tolist(), strict=True)])
-        slot = slot[inverse]
+        slot = self._slots(buf, data, low, high)
         size = self.size[slot]
         total = np.concatenate(([0], np.cumsum(size)))
         ids = self.pool[np.repeat(self.begin[slot] - total[:-1], size) + np.arange(total[-1])]
@@ -155,6 +185,17 @@ class Encoder:
         return ids, ends
 
 
+def short_words(buf: np.ndarray, low: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The bytes of pieces of up to SHORT bytes and their length, as two words each: equal words, equal pieces."""
+    room = np.concatenate((buf, np.zeros(16, np.uint8)))
+    at = np.ndarray((len(room) - 7,), "<u8", room, strides=(1,))  # the eight bytes from each place
+    part = lambda n: np.where(n >= 8, ~U64(0), (U64(1) << (U64(8) * np.minimum(n, 7).astype(U64))) - U64(1))
+    out = np.empty((len(low), 2), U64)
+    out[:, 0] = at[low] & part(size)
+    out[:, 1] = (at[low + 8] & part(np.maximum(size - 8, 0))) | (size.astype(U64) << U64(56))
+    return out
+
+
 def _room(a: np.ndarray, n: int) -> np.ndarray:
     """An array that begins as a and has room for n values or more."""
     return a if len(a) >= n else np.concatenate((a, np.zeros(max(n, 2 * len(a)) - len(a), a.dtype)))
