@@ -30,14 +30,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from parchment.llm.common import cut, discard
-from parchment.llm.textbuf import U64, chunks, mix, prefix_hash, run_starts, span_hash
+from parchment.llm.common import WIDE, cut, discard
+from parchment.llm.textbuf import U64, chunks, give_back, mix, prefix_hash, run_starts, span_hash
 
 LONGEST, LEAST, COVERED, TOP = 3, 10, 50, 2000
 SCALE = 1_000_000
 NO_LANG = "und"
 #: Bytes of text of a segment; a longer text is a segment of its own.
-SEGMENT_BYTES = 6 << 20
+SEGMENT_BYTES = 3 << 20
+#: Rows that a task hands over at once.
+ROWS_AT_ONCE = 1 << 16
 #: Bits of the filter for each phrase, bits at least and at most (16 MB), and bits set for a phrase.
 BITS_EACH, LEAST_BITS, MOST_BITS, SET = 16, 1 << 16, 1 << 27, 3
 #: Shares of a language that are ranked apart before its first ones meet.
@@ -220,7 +222,11 @@ def _grown(batches: Iterator[pa.RecordBatch], length: int, filters: list[Filter]
             if len(starts):
                 n = np.bincount(phrase, minlength=len(text))
                 some = np.flatnonzero(n)
-                yield pa.RecordBatch.from_arrays([pa.array([lang]).take(pa.array(np.zeros(len(some), np.int32))), text.take(pa.array(some)).cast(pa.string()), pa.array(n[some])], names=["lang", "phrase", "n"])
+                for at in range(0, len(some), ROWS_AT_ONCE):
+                    own = some[at : at + ROWS_AT_ONCE]
+                    yield pa.RecordBatch.from_arrays([pa.array([lang]).take(pa.array(np.zeros(len(own), np.int32))), text.take(pa.array(own)).cast(pa.string()), pa.array(n[own])], names=["lang", "phrase", "n"])
+            del lists, starts, phrase, text
+            give_back()
 
 
 def counted(lists: DataFrame, length: int, filters: list[Filter], least: int) -> DataFrame:
@@ -255,7 +261,7 @@ def _first(found: DataFrame, top: int) -> DataFrame:
 
 def collocations(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, covered: int = COVERED, top: int = TOP) -> DataFrame:
     """The strongest phrases of each language: lang, rank, phrase, a, l, r, n, score."""
-    lists = cut(inverted_lists(docs), "lists")
+    lists = cut(inverted_lists(docs), "lists", WIDE)
     each = lists.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("w")).groupBy("lang", F.col("w.words").alias("phrase")).agg(F.sum("w.counts").alias("a"))
     frequent = [cut(each.where(F.col("a") >= least), "words")]
     totals = lists.groupBy("lang").agg(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda x, y: x + y)).alias("n"))

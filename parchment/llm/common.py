@@ -49,10 +49,14 @@ def _clean() -> None:
                 drop_path(spark, path)
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
+#: Options for tables whose rows are megabytes: pages and row groups close by size after any row, not after a hundred.
+WIDE = {"parquet.page.size.row.check.min": "1", "parquet.block.size.row.check.min": "1", "parquet.enable.dictionary": "false"}
+
+
+def cut(df: DataFrame, name: str, options: dict[str, str] | None = None) -> DataFrame:
     """df written to the shared folder and read again: lineage ends there, lost executors cost nothing before it."""
     path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**(options or {})).parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._scratch_path = path
     return out
