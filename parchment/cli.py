@@ -6,6 +6,7 @@ import argparse
 import hashlib
 import json
 import time
+import uuid
 from datetime import UTC, date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -82,11 +83,8 @@ def units_of(spark: SparkSession, collection: Collection, found: list[tuple], to
 
 
 def stored_rows(store: SnapshotStore, manifest: dict) -> DataFrame:
-    """All rows with the partition whose folder they lie in."""
-    out = store.read([], manifest).withColumn("_stored_in", F.lit(""))
-    for name in manifest["partitions"]:
-        out = out.unionByName(store.read([name], manifest).withColumn("_stored_in", F.lit(name)))
-    return out
+    """All rows with the partition whose file they lie in."""
+    return store.read_placed(manifest)
 
 
 #: Files that may differ between a listing and the store before it counts: the site changes while it is read.
@@ -117,7 +115,9 @@ def build_cases(spark: SparkSession, root: str, today: date) -> dict:
         part = SnapshotStore(spark, f"{root}/{name}").read().drop("file").withColumn("collection", F.lit(name))
         docs = part if docs is None else docs.unionByName(part)
     store = SnapshotStore(spark, f"{root}/cases", CASES, "docket", F.concat(F.lit("OT"), F.col("term")))
-    return store.commit(case_rows(attributed(docs, F.lit(today))), store.manifest())
+    made = f"{root}/cases/_staging/rows-{uuid.uuid4().hex}"
+    case_rows(attributed(docs, F.lit(today))).write.parquet(made)  # a long plan, and a commit reads its rows twice
+    return store.commit(spark.read.schema(CASES).parquet(made), store.manifest())
 
 
 def main(argv: list[str] | None = None) -> int:

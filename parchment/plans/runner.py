@@ -12,7 +12,7 @@ import time
 import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,11 +49,6 @@ class Run:
     counts: dict[str, int] = field(default_factory=dict)
     stopped: str | None = None
 
-    @staticmethod
-    def released(manifest: dict) -> bool:
-        """Whether the last writer's run has ended, so that its lease is over."""
-        return bool((manifest.get("writer") or {}).get("ended"))
-
 
 def lease_of(manifest: dict, writer: str, minutes_since: float | None) -> dict | None:
     """Another writer's lease, if it is fresh."""
@@ -61,6 +56,10 @@ def lease_of(manifest: dict, writer: str, minutes_since: float | None) -> dict |
     return lease if lease.get("by") not in (None, writer) and minutes_since is not None and minutes_since < LEASE_MINUTES else None
 
 
+def minutes_between(before: str | None, now: str) -> float | None:
+    return (datetime.fromisoformat(now) - datetime.fromisoformat(before)).total_seconds() / 60 if before else None
+
+
 def fingerprints(units: DataFrame) -> DataFrame:
     line = F.concat("id", F.lit("\t"), F.sha2("entries", 256))
     return units.groupBy("partition").agg(line_digest(line).alias("fingerprint"))
@@ -80,7 +79,10 @@ def due_partitions(now: DataFrame, stored: DataFrame, failures: DataFrame, optio
 
 
 def _asked(todo: Iterable[tuple[str, str]], ask: Callable[[str], tuple[bytes | None, dict]], run: Run, write: Callable[[list[tuple]], None]) -> None:
-    """Ask in order, one at a time, handing over bounded batches; a refusal by the site ends the run, a bad file doesn't."""
+    """Ask in order, one at a time, handing over bounded batches; a refusal by the site ends the run, a bad file doesn't.
+
+    write() renews the writer's lease, so a run that lost it stops with the next batch.
+    """
     batch: list[tuple] = []
     for uid, url in todo:
         if run.stopped or run.clock() > run.deadline:
@@ -121,9 +123,11 @@ def sync(store: SnapshotStore, units: DataFrame, client: Fetcher, run: Run, opti
     Partitions without a change are neither read nor written.  Failures count on; after MAX_ATTEMPTS a file waits a day.
     """
     spark, base = store.spark, store.manifest()
-    last = (base.get("writer") or {}).get("at")
-    if lease_of(base, run.writer, (datetime.fromisoformat(run.now) - datetime.fromisoformat(last)).total_seconds() / 60 if last and not run.released(base) else None):
-        raise Leased(base["writer"]["by"])
+    for lease in (base.get("writer") or {}, (store.leases() or [{}])[-1]):
+        if lease_of({"writer": lease}, run.writer, minutes_between(lease.get("at"), run.now) if not lease.get("ended") else None):
+            raise Leased(lease["by"])
+    token, began = store.acquire(run.writer, run.now), run.clock()
+    beat = lambda ended=False: store.renew(token, run.writer, (datetime.fromisoformat(run.now) + timedelta(seconds=run.clock() - began)).isoformat(timespec="seconds"), ended)
     failed = [(k, v["attempts"], v["at"], v["error"], v.get("partition")) for k, v in base["failures"].items()]
     failures = spark.createDataFrame(failed, FAILED)
     timed = failures.withColumn("at", F.to_timestamp_ntz("at"))
@@ -148,7 +152,12 @@ def sync(store: SnapshotStore, units: DataFrame, client: Fetcher, run: Run, opti
         had = spark.read.schema(FETCHED).parquet(path).where("error is null").select("id")
         rest = rows.join(links, "id").join(had, "id", "left_anti").select("partition", "id", "url").orderBy(F.desc("partition"), "id")
         listed = ((r.id, r.url) for r in (rest.limit(run.max_files) if run.max_files is not None else rest).select("id", "url").toLocalIterator())
-        _asked(listed, how, run, lambda batch: spark.createDataFrame(batch, FETCHED).coalesce(1).write.mode("append").parquet(path))
+
+        def write(batch: list[tuple]) -> None:
+            spark.createDataFrame(batch, FETCHED).coalesce(1).write.mode("append").parquet(path)
+            beat()
+
+        _asked(listed, how, run, write)
         found = spark.read.schema(FETCHED).parquet(path)
         return found.where("error is null").dropDuplicates(["id"]).unionByName(found.where("error is not null").join(found.where("error is null").select("id"), "id", "left_anti").dropDuplicates(["id"]))
 
@@ -202,7 +211,8 @@ def sync(store: SnapshotStore, units: DataFrame, client: Fetcher, run: Run, opti
     failing = {f["partition"] for f in kept.values()}
     stamps = {r.partition: {"fingerprint": r.fingerprint, "complete": whole_run and r.partition not in failing} for r in prints.collect() if r.partition in set(due)}
     whole = store.read(touched, base).join(changed.select("id"), "id", "left_anti").unionByName(changed)
-    manifest = store.commit(whole, base, stamps=stamps, **extra)
+    manifest = store.commit(whole, base, stamps=stamps, token=token, **extra)
+    beat(ended=True)
     plan.unpersist()
     return manifest
 
