@@ -6,18 +6,19 @@ import argparse
 import hashlib
 import json
 import time
-import uuid
 from datetime import UTC, date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parchment import cards
-from parchment.operators.cases import GRANTED, OPINIONS, REPORTS, TRANSCRIPTS, attributed
 from parchment.operators.grouping import seeded_sample, summarize
 from parchment.operators.typed import day_of, typed
 from parchment.operators.verify import verify
-from parchment.plans.casebuild import case_rows, coverage
+from parchment.plans import caseterms
+from parchment.plans.casebuild import coverage
+from parchment.plans.caseterms import Build
+from parchment.plans.recount import changed_keys, changed_partitions, recounted
 from parchment.plans.runner import Run, status, sync
 from parchment.plans.store import SnapshotStore
 from parchment.plans.sync import MAX_ATTEMPTS, Options, live_diff
@@ -108,16 +109,30 @@ def download_problems(rows: DataFrame, client: Fetcher, n: int, seed: str) -> li
     return out
 
 
-def build_cases(spark: SparkSession, root: str, today: date) -> dict:
-    """Cases of all terms from the stores of their source collections, committed as one version."""
-    docs = None
-    for name in (*OPINIONS, TRANSCRIPTS, GRANTED, REPORTS):
-        part = SnapshotStore(spark, f"{root}/{name}").read().drop("file").withColumn("collection", F.lit(name))
-        docs = part if docs is None else docs.unionByName(part)
-    store = SnapshotStore(spark, f"{root}/cases", CASES, "docket", F.concat(F.lit("OT"), F.col("term")))
-    made = f"{root}/cases/_staging/rows-{uuid.uuid4().hex}"
-    case_rows(attributed(docs, F.lit(today))).write.parquet(made)  # a long plan, and a commit reads its rows twice
-    return store.commit(spark.read.schema(CASES).parquet(made), store.manifest())
+def recount(store: SnapshotStore, manifest: dict) -> DataFrame:
+    """(partition, key, before, now) of the summary's values that differ from the summary of the version last recounted.
+
+    Only partitions whose files changed since are read.  The new summary is kept beside the version's files.
+    """
+    kept = [v for v in store.versions() if store._exists(f"_summaries/{v:09d}")]
+    path = f"{store.root}/_summaries/{manifest['version']:09d}"
+    if not kept:
+        summarize(store.read(manifest=manifest)).write.mode("overwrite").parquet(path)
+        summary = store.spark.read.parquet(path)
+        return changed_keys(summary.limit(0), summary)
+    old = store.spark.read.parquet(f"{store.root}/_summaries/{kept[-1]:09d}")
+    if kept[-1] == manifest["version"]:
+        return changed_keys(old, old)
+    changed = changed_partitions(store.files(store.manifest(kept[-1])), store.files(manifest)).cache()
+    names = [r.partition for r in changed.collect()]  # partition names
+    recounted(old, changed, summarize(store.read(names, manifest))).write.mode("overwrite").parquet(path)
+    return changed_keys(old, store.spark.read.parquet(path))
+
+
+def build_cases(spark: SparkSession, root: str, today: date, run: Build | None = None) -> dict:
+    """Cases of the terms that have a reason, from the stores of their source collections; a commit a term."""
+    run = run or Build(now=datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%S"), current_term=october_term(today))
+    return caseterms.build_cases(spark, root, today, run)
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -134,15 +149,18 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--live", action="store_true")
     p.add_argument("--redownload", type=int, default=0)
     p.add_argument("--seed", default="0")
+    p.add_argument("--offline", action="store_true", help="cases: ask for no docket page and no recording")
     args = p.parse_args(argv)
     today, now = date.today(), datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%S")
     spark, client, bad = local_session("parchment"), Fetcher(), 0
     ship(spark)
     if args.command == "cases":
-        build_cases(spark, args.store, today)
+        build = Build(now, october_term(today), None if args.offline else client, time.monotonic() + 60 * args.budget_minutes)
+        build_cases(spark, args.store, today, build)
+        print(json.dumps({"built": build.built, "asked": build.asked, "failed": build.failed, "stopped": build.stopped}))
         rows = coverage(SnapshotStore(spark, f"{args.store}/cases", CASES, "docket").read()).collect()
         print(cards.cases_card([tuple(r) for r in rows]))
-        return 0
+        return int(build.stopped not in (None, "budget"))
     for name in args.dataset or COLLECTIONS:
         collection, store = COLLECTIONS[name], SnapshotStore(spark, f"{args.store}/{name}", DOCUMENTS)
         manifest = store.manifest()
@@ -167,14 +185,17 @@ def main(argv: list[str] | None = None) -> int:
             entries = [(k, e["rows"], e.get("listed"), e.get("ids_sha256")) for k, e in manifest["partitions"].items()]
             stored = stored_rows(store, manifest)
             problems = verify(stored, spark.createDataFrame(entries, "partition string, rows long, listed long, ids_sha256 string"), args.deep)
-            rows = [r.asDict() for r in problems.orderBy("scope", "key", "problem").limit(100).collect()]
+            path = f"{args.store}/{name}/_problems/{now.replace(':', '')}"
+            problems.write.parquet(path)  # all of them; the shown ones are a sample
+            problems = spark.read.parquet(path)
+            total, rows = problems.count(), [r.asDict() for r in problems.orderBy("scope", "key", "problem").limit(100).collect()]
             rows += live_problems(spark, stored, manifest, units) if args.live else []
             rows += download_problems(stored, client, args.redownload, args.seed) if args.redownload else []
-            print(json.dumps({"collection": name, "problems": rows}))
+            print(json.dumps({"collection": name, "stored_problems": total, "all_in": path, "shown": rows}))
             bad |= bool(rows)
         elif args.command == "card":
             print(cards.collection_card(collection, manifest))
         else:
-            for r in summarize(store.read(manifest=manifest)).collect():
-                print(json.dumps({"collection": name} | r.asDict(), default=str))
+            for r in recount(store, manifest).collect():
+                print(json.dumps({"collection": name} | r.asDict()))
     return int(bad)

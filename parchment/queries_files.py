@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parchment.plans import files
+from parchment.plans import files, recount
 from parchment.plans.asof import asof
 from parchment.queries import digest_sql, query, table
 from parchment.sources import footers
@@ -66,3 +66,33 @@ def pruned_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = footers.pruned_scan(spark, zone_map, wanted, "o_custkey", 4096.0)
     found = found if found is not None else table(spark, sf_dir, "orders").limit(0)
     return found.select("o_orderkey", "o_custkey", "o_totalprice")
+
+
+@query("""
+with d as (select coalesce(lang, '') p, coalesce(source, '') s, doc_id, n_chars from documents),
+a as (select p, s, count(*) docs, sum(n_chars) chars, max(doc_id) newest from d group by all),
+b as (select p, s, count(*) docs, sum(n_chars) chars, max(doc_id) newest from d where not (s = 'src3' and doc_id % 3 = 1) group by all),
+j as (select coalesce(a.p, b.p) p, coalesce(a.s, b.s) s, a.docs ad, b.docs bd, a.chars ac, b.chars bc, a.newest an, b.newest bn from a full join b on a.p = b.p and a.s = b.s),
+u as (select p || '/' || s "partition", 'docs' "key", ad::varchar before, bd::varchar now from j union all select p || '/' || s, 'chars', ac::varchar, bc::varchar from j union all select p || '/' || s, 'newest', an::varchar, bn::varchar from j)
+select * from u where before is distinct from now""")
+def recount_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a recount reports after some documents of one source went: partitions whose files didn't change aren't counted again."""
+    d = table(spark, sf_dir, "documents").select(F.concat_ws("/", F.coalesce("lang", F.lit("")), F.coalesce("source", F.lit(""))).alias("partition"), "doc_id", "n_chars", F.coalesce("source", F.lit("")).alias("source"))
+    later = d.where("not (source = 'src3' and doc_id % 3 = 1)")
+    count = lambda rows: rows.groupBy("partition").agg(F.count("*").alias("docs"), F.sum("n_chars").alias("chars"), F.max("doc_id").alias("newest"))
+    of = lambda rows: files.file_digests(files.placed_in_files(rows.select("partition", F.col("doc_id").cast("string").alias("key"), F.col("n_chars").alias("weight"), F.sha2(F.col("doc_id").cast("string"), 256).alias("line")), SMALL_FILE))
+    changed = recount.changed_partitions(of(d), of(later))
+    before = count(d)
+    return recount.changed_keys(before, recount.recounted(before, changed, count(later.join(changed, "partition", "left_semi"))))
+
+
+@query("""
+with s as (select c_custkey, case when c_custkey % 4 = 0 then null else 't' end listed_at, case when c_custkey % 5 = 0 then 'Blocked' when c_custkey % 5 = 1 then 'budget' end stopped, c_custkey % 3 - 1 given_up, c_custkey % 7 - 3 missing, c_nationkey % 2 incomplete from customer)
+select c_custkey collection, case when listed_at is null then 'never listed' when stopped = 'Blocked' then 'stopped' when given_up > 0 then 'failing' when missing > 0 then 'behind' when incomplete > 0 then 'incomplete' else 'whole' end health from s""")
+def source_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("c_custkey")
+    rows = table(spark, sf_dir, "customer").select(
+        k.alias("collection"), F.when(k % 4 != 0, "t").alias("listed_at"), F.when(k % 5 == 0, "Blocked").when(k % 5 == 1, "budget").alias("stopped"),
+        (k % 3 - 1).alias("given_up"), (k % 7 - 3).alias("missing"), (F.col("c_nationkey") % 2).alias("incomplete"),
+    )
+    return recount.source_health(rows).select("collection", "health")
