@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from parchment.functions import text as T
 from parchment.operators.cases import GRANTED, OPINIONS, REPORTS, TRANSCRIPTS, attributed
 from parchment.operators.grouping import line_digest
-from parchment.plans.casebuild import BUILDER, NEWER, OLDER, UnexpectedStatus, case_rows, dockets_due, fetch_docket, rebuild_reasons, recordings
+from parchment.plans.casebuild import BUILDER, NEWER, OLDER, case_rows, dockets_due, fetch_docket, rebuild_reasons, recordings
 from parchment.plans.store import SnapshotStore
 from parchment.plans.sync import term_order
 from parchment.schema import CASES
@@ -93,7 +93,7 @@ def ask_pages(due: DataFrame, pages: DataFrame, run: Build) -> list[tuple]:
         except (Blocked, QuotaExhausted) as e:
             run.stopped = f"{type(e).__name__}: {e}"
             break
-        except (UnexpectedStatus, OSError, ValueError) as e:
+        except Exception as e:  # noqa: BLE001 - one page's failure is noted, and the next is asked for
             run.failed[r.docket] = f"{type(e).__name__}: {e}"[:300]
             continue
         run.asked += 1
