@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -35,6 +36,16 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder that driver and executors share (spark.checkpoint.dir); a local one only where none is set on a local master."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        return "file://" + tempfile.mkdtemp(prefix=f"parchment-{name}-")
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def local_session(name: str = "parchment", cores: int | str = 8, partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A session on this machine, for tests and small jobs."""
     return (
