@@ -18,6 +18,7 @@ from parchment.operators.verify import verify
 from parchment.plans import caseterms
 from parchment.plans.casebuild import coverage
 from parchment.plans.caseterms import Build
+from parchment.plans.deepcheck import DeepCheck
 from parchment.plans.recount import changed_keys, changed_partitions, recounted
 from parchment.plans.runner import Run, status, sync
 from parchment.plans.store import SnapshotStore
@@ -184,7 +185,12 @@ def main(argv: list[str] | None = None) -> int:
         elif args.command == "verify":
             entries = [(k, e["rows"], e.get("listed"), e.get("ids_sha256")) for k, e in manifest["partitions"].items()]
             stored = stored_rows(store, manifest)
-            problems = verify(stored, spark.createDataFrame(entries, "partition string, rows long, listed long, ids_sha256 string"), args.deep)
+            problems = verify(stored, spark.createDataFrame(entries, "partition string, rows long, listed long, ids_sha256 string"))
+            if args.deep:  # reads files that no deep check has read, and tells what all have found
+                check = DeepCheck(store)
+                check.run(manifest, time.time() + 60 * args.budget_minutes)
+                problems = problems.unionByName(check.problems(manifest))
+                print(json.dumps({"collection": name, "files_read": check.checked, "files_left": check.due(manifest).count()}))
             path = f"{args.store}/{name}/_problems/{now.replace(':', '')}"
             problems.write.parquet(path)  # all of them; the shown ones are a sample
             problems = spark.read.parquet(path)
