@@ -16,11 +16,12 @@ from parchment.operators.grouping import seeded_sample, summarize
 from parchment.operators.typed import day_of, typed
 from parchment.operators.verify import verify
 from parchment.plans import caseterms
+from parchment.plans.budget import sync_in_slices, turns, waiting_order
 from parchment.plans.casebuild import coverage
 from parchment.plans.caseterms import Build
 from parchment.plans.deepcheck import DeepCheck
 from parchment.plans.recount import changed_keys, changed_partitions, recounted
-from parchment.plans.runner import Run, status, sync
+from parchment.plans.runner import Run, status
 from parchment.plans.store import SnapshotStore
 from parchment.plans.sync import MAX_ATTEMPTS, Options, live_diff
 from parchment.schema import CASES, DOCUMENTS
@@ -142,6 +143,9 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--dataset", action="append", choices=tuple(COLLECTIONS), help="default: all")
     p.add_argument("--store", required=True, help="a folder that driver and executors share")
     p.add_argument("--budget-minutes", type=float, default=300.0)
+    p.add_argument("--reserve-minutes", type=float, default=10.0, help="run: what of the budget is kept for each collection that is still to come")
+    p.add_argument("--commit-minutes", type=float, default=10.0, help="run: commit after so many minutes of asking")
+    p.add_argument("--min-free-gb", type=float, default=10.0, help="run: stop asking when the store's file system has less left")
     p.add_argument("--max-units", type=int)
     p.add_argument("--partitions")
     p.add_argument("--refetch", action="store_true")
@@ -162,8 +166,11 @@ def main(argv: list[str] | None = None) -> int:
         rows = coverage(SnapshotStore(spark, f"{args.store}/cases", CASES, "docket").read()).collect()
         print(cards.cases_card([tuple(r) for r in rows]))
         return int(build.stopped not in (None, "budget"))
-    for name in args.dataset or COLLECTIONS:
-        collection, store = COLLECTIONS[name], SnapshotStore(spark, f"{args.store}/{name}", DOCUMENTS)
+    stores = {name: SnapshotStore(spark, f"{args.store}/{name}", DOCUMENTS) for name in args.dataset or COLLECTIONS}
+    order = waiting_order({name: store.manifest() for name, store in stores.items()}) if args.command == "run" else list(stores)
+    shares = turns(order, 60 * args.budget_minutes, 60 * args.reserve_minutes, time.monotonic) if args.command == "run" else ((name, 0.0) for name in order)
+    for name, deadline in shares:
+        collection, store = COLLECTIONS[name], stores[name]
         manifest = store.manifest()
         if args.command in ("list", "run") or (args.command == "verify" and args.live):
             pages, found = crawl(collection, client, today)
@@ -177,9 +184,9 @@ def main(argv: list[str] | None = None) -> int:
             explained = [u for u in lost if pages.get(u, {}).get("shown_term") or pages.get(u, {}).get("unlinked_rows")]
             if set(lost) - set(explained):
                 raise ListingError(f"pages that had entries have none: {sorted(set(lost) - set(explained))[:10]}")
-            run = Run(now=now, deadline=time.monotonic() + 60 * args.budget_minutes, max_files=args.max_units, only=frozenset(args.partitions.split(",")) if args.partitions else None, held=bool(lost))
+            run = Run(now=now, deadline=deadline, room=lambda store=store: store.free_bytes() > args.min_free_gb * 1e9, max_files=args.max_units, only=frozenset(args.partitions.split(",")) if args.partitions else None, held=bool(lost))
             options = Options(now=now.replace("T", " "), current_term=october_term(today), mutable=collection.mutable, refetch=args.refetch, revalidate_all=args.revalidate_all, held=bool(lost))
-            done = sync(store, units, client, run, options, collection.html)
+            done = sync_in_slices(store, units, client, run, options, 60 * args.commit_minutes, html=collection.html)
             print(json.dumps({"collection": name, "stopped": run.stopped, **run.counts, **status(done)}))
             bad |= run.stopped not in (None, "budget")
         elif args.command == "verify":

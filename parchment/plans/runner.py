@@ -28,6 +28,8 @@ RUNS_KEPT = 20
 FETCHED = "id string, file binary, etag string, last_modified string, error string"
 FAILED = "id string, attempts int, at string, error string, partition string"
 FATAL = (Blocked, QuotaExhausted)
+#: Why a run stopped that is to commit and go on.
+CHECKPOINT = "checkpoint"
 
 
 class Leased(RuntimeError):
@@ -48,6 +50,11 @@ class Run:
     clock: Callable[[], float] = time.monotonic
     counts: dict[str, int] = field(default_factory=dict)
     stopped: str | None = None
+    #: Seconds of asking after which a run stops to commit, and how many runs that made.
+    commit_every: float = float("inf")
+    slices: int = 0
+    #: Whether there is room for what is fetched.
+    room: Callable[[], bool] = lambda: True
 
 
 def lease_of(manifest: dict, writer: str, minutes_since: float | None) -> dict | None:
@@ -84,10 +91,18 @@ def _asked(todo: Iterable[tuple[str, str]], ask: Callable[[str], tuple[bytes | N
     write() renews the writer's lease, so a run that lost it stops with the next batch.
     """
     batch: list[tuple] = []
+    pause, asked = run.clock() + run.commit_every, False
     for uid, url in todo:
         if run.stopped or run.clock() > run.deadline:
             run.stopped = run.stopped or "budget"
             break
+        if not batch and not run.room():
+            run.stopped = "no room"
+            break
+        if asked and run.clock() >= pause:  # after one file at least
+            run.stopped = CHECKPOINT
+            break
+        asked = True
         try:
             data, headers = ask(url)
             batch.append((uid, data, headers.get("etag"), headers.get("last-modified"), None))
@@ -141,7 +156,11 @@ def sync(store: SnapshotStore, units: DataFrame, client: Fetcher, run: Run, opti
     named = F.broadcast(spark.createDataFrame([(x,) for x in due], "partition string"))
     units = units.join(named, "partition", "left_semi")
     stored = store.read(due, base)
-    plan = sync_plan(units, stored.drop("file"), timed, options).join(stored.select("id", "media_type"), "id", "left").cache()
+    plan = sync_plan(units, stored.drop("file"), timed, options).join(stored.select("id", "media_type", F.col("checked_at").alias("_asked")), "id", "left")
+    # what this run asked for before its last commit; times are the run's own
+    tried = failures.where(F.col("at") == run.now).select("id", F.lit(True).alias("_tried"))
+    todo = ~(F.coalesce(F.col("_asked") == run.now, F.lit(False)) | F.coalesce("_tried", F.lit(False)))
+    plan = plan.join(tried, "id", "left").withColumns({c: F.col(c) & todo for c in ("fetch", "revalidate")}).drop("_asked", "_tried").cache()
     links = units.select("id", "url")
     first = F.col("fetch") | (F.col("revalidate") & (F.lit(html) | F.coalesce(F.col("media_type") == "text/html", F.lit(False))))
     inbox, heads = (f"{store.root}/_staging/{kind}-of-{base['version']:09d}" for kind in ("inbox", "heads"))
@@ -165,8 +184,11 @@ def sync(store: SnapshotStore, units: DataFrame, client: Fetcher, run: Run, opti
         answers = spark.createDataFrame([], FETCHED)
     else:
         answers = ask(plan.where(F.col("revalidate") & ~first), heads, lambda url: _validators(client, url))
+    paused = run.stopped == CHECKPOINT
+    run.stopped = None if paused else run.stopped  # files found changed are fetched in the same slice, or would be asked about again
     stale = changed_files(answers.where("error is null"), stored)
     got = ask(plan.where(first).select("id", "partition").unionByName(plan.join(stale, "id").select("id", "partition")), inbox, client.fetch)
+    run.stopped = run.stopped or (CHECKPOINT if paused else None)
     good = got.where("error is null").join(units, "id").withColumn("html", F.lit(html))
     extracted = f"{store.root}/_staging/text-{uuid.uuid4().hex}"
     extract_files(good, read_pdf).write.parquet(extracted)  # once: several actions read it

@@ -66,6 +66,10 @@ class SnapshotStore:
         finally:
             stream.close()
 
+    def free_bytes(self) -> int:
+        """What the file system says is left."""
+        return self._fs.getStatus(self._path(self.root)).getRemaining()
+
     def versions(self) -> list[int]:
         folder = self._path(f"{self.root}/_manifests")
         return sorted(int(s.getPath().getName().split(".")[0]) for s in self._fs.listStatus(folder)) if self._fs.exists(folder) else []
