@@ -12,6 +12,8 @@ from parchment.streaming.file_states import ENDED, EVENTS, FAILED, LISTED, STORE
 
 #: Days of events that the stream sees before it is started again.
 RESTART_AFTER = 15
+#: Events for one bucket; a task holds a bucket's events of a batch and its files.
+BUCKET_EVENTS = 50_000
 
 
 @query("""
@@ -39,10 +41,11 @@ def listing_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     told = e.select(kind.alias("kind"), day.alias("run"), F.col("event_id").alias("seq"), at.alias("at"), F.concat(F.lit("f"), "user_id").alias("id"), F.col("event_type").alias("partition"), F.col("event_type").alias("line"))
     ends = told.groupBy("run").agg(F.max("at").alias("at")).select(F.lit(ENDED).alias("kind"), "run", F.lit(None).cast("long").alias("seq"), "at", *(F.lit(None).cast("string").alias(c) for c in ("id", "partition", "line")))
     both, root = told.unionByName(ends), shared_folder(spark, "listing-stream")
+    buckets = max(16, -(-e.count() // BUCKET_EVENTS))
     for part in (both.where(F.col("run") <= RESTART_AFTER), both.where(F.col("run") > RESTART_AFTER)):
         part.write.mode("append").parquet(f"{root}/events")
         stream = spark.readStream.schema(EVENTS).parquet(f"{root}/events")
-        file_states.run(stream, f"{root}/actions", f"{root}/checkpoint", buckets=16).awaitTermination()
+        file_states.run(stream, f"{root}/actions", f"{root}/checkpoint", buckets=buckets).awaitTermination()
     done = spark.read.schema(file_states.ACTIONS).parquet(f"{root}/actions").where("action <> 'retry'")
     counts = done.groupBy("id").agg(*(F.count_if(F.col("action") == a).alias(n) for a, n in (("fetch", "fetches"), ("skip", "skips"), ("delist", "delists"), ("relist", "relists"), ("update", "updates"))))
     now = file_states.states(spark, f"{root}/checkpoint").select("id", "known", "listed", "attempts")

@@ -6,10 +6,11 @@ parchment.plans.sync.sync_plan: fetch or skip, delist, relist, update.  A listin
 
 Files are dealt by a hash of their id to buckets, which are the stream's keys; a bucket's files are a map in the state store, so
 an end of a listing is a row for each bucket.  A task holds one bucket's events of a batch, and at an end one bucket's states:
-buckets grow with the number of files, and batches are bounded by the source's options.  The state holds files that are stored
-or listed: others are forgotten with their failures.  A file that failed MAX_ATTEMPTS times gets a timer; when it
-expires, a "retry" says that the wait is over, whether or not a listing came.  Timers follow the clock and not a watermark, which
-would drop late rows.
+buckets grow with the number of files, and batches are bounded by the source's options.  Calls to the state store are messages to the
+JVM, so a batch in which listings end reads a bucket's files in one go, and writes each that changed once, however many runs it
+holds.  The state holds files that are stored or listed: others are forgotten with their failures.  A file that isn't stored and failed
+MAX_ATTEMPTS times waits; a bucket has a timer for the wait that is over first, and when it expires, a "retry" says for each wait that
+is over, whether or not a listing came.  Timers follow the clock and not a watermark, which would drop late rows.
 
 Order: events are put in order within a batch (run, then links, the end, outcomes).  Between batches a run's links may come
 after its end and are then acted on as they come; of an earlier run than the last that ended, they only say that the file was seen.
@@ -22,9 +23,11 @@ one; outcomes of files that were never listed are kept until the next listing en
 from __future__ import annotations
 
 from collections.abc import Iterator
+from datetime import datetime
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Row, SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -36,9 +39,13 @@ EVENTS = "kind string, run long, seq long, at timestamp, id string, partition st
 ACTIONS = "id string, partition string, run long, at timestamp, action string"
 BUCKETS = 256
 STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_COLUMNS = ("kind", "run", "seq", "us", "id", "partition", "line")
+_TOLD = "id string, partition string, run long, us long, action string"
+_ROW = {"id": object, "partition": object, "run": "int64", "us": "int64", "action": object}
 _ORDER = {LISTED: 0, ENDED: 1, STORED: 2, FAILED: 2}
 _FILE = "run long, first long, place string, line string, home string, kept string, known boolean, listed boolean, attempts int, failed_at long"
 _RETRY_MS = RETRY_HOURS * 3_600_000
+_FRAME = 10_000
 
 
 class File(NamedTuple):
@@ -67,6 +74,10 @@ class File(NamedTuple):
     def waiting(self, at: int) -> bool:
         return self.attempts >= MAX_ATTEMPTS and self.failed_at is not None and self.failed_at + _RETRY_MS > at
 
+    def place_told(self) -> str | None:
+        """The partition that holds the file, or the one that it is listed in."""
+        return self.home if self.home is not None else self.place
+
     def settled(self, run: int, at: int) -> tuple[File | None, list[str]]:
         """(state, actions) when the run's listing has ended; no state where there is nothing left to know."""
         live = self.run == run
@@ -78,8 +89,13 @@ class File(NamedTuple):
         return self._replace(listed=True, kept=self.line), what
 
 
-def _ms(at) -> int:
-    return round(at.timestamp() * 1000)
+def _order(event: tuple) -> tuple:
+    kind, run, seq, _, uid, *_ = event
+    return run, _ORDER[kind], seq, uid or ""
+
+
+def _frame(told: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame({c: pd.Series(v, dtype=t) for (c, t), v in zip(_ROW.items(), zip(*told, strict=True) if told else [()] * len(_ROW), strict=True)})
 
 
 class FileStates(StatefulProcessor):
@@ -90,6 +106,7 @@ class FileStates(StatefulProcessor):
         self.files = handle.getMapState("files", "id string", _FILE)
         self.ended = handle.getValueState("ended", "run long, at timestamp")
         self.waits = handle.getMapState("waits", "id string", "until long")
+        self.due = handle.getValueState("due", "until long")
 
     def _get(self, uid: str) -> File | None:
         got = self.files.getValue((uid,))
@@ -103,71 +120,89 @@ class FileStates(StatefulProcessor):
         else:
             self.files.updateValue((uid,), tuple(new))
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802, N803 - the interface's names
-        last = self.ended.get()
-        run, at = (last[0], last[1]) if last is not None else (-1, None)
-        changed: dict[str, tuple[File | None, File | None]] = {}  # files of this batch, until the next end or the batch's
-
-        def flush() -> None:
-            for uid, (old, new) in changed.items():
-                self._put(uid, old, new)
-            changed.clear()
+    def _wake(self, until: int) -> None:
+        """A bucket has one timer, for the wait that is over first."""
+        due = self.due.get()
+        if due is not None and due[0] <= until:
+            return
+        if due is not None:
+            self.handle.deleteTimer(due[0])
+        self.handle.registerTimer(until)
+        self.due.update((until,))
 
-        for e in sorted(rows, key=lambda e: (e.run, _ORDER[e.kind], e.seq if e.seq is not None else -1, e.id or "")):
-            if e.kind == ENDED:
-                if e.run <= run:
+    def _last(self) -> tuple[int, int | None]:
+        """The last run that ended, and when (in microseconds)."""
+        last = self.ended.get()
+        return (last[0], round(last[1].timestamp() * 1_000_000)) if last is not None else (-1, None)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803 - the interface's names
+        before = run, at = self._last()
+        # frames and not rows: Spark takes some 100 microseconds to make a Row of each event
+        events = sorted((e for part in rows for e in zip(*(part[c].tolist() for c in _COLUMNS), strict=True)), key=_order)
+        # each call to the store is a message to the JVM: files are read once and written once in a batch, however many runs end in it
+        whole = any(e[0] == ENDED and e[1] > run for e in events)
+        files: dict[str, File | None] = {uid: File(*value) for (uid,), value in self.files.iterator()} if whole else {}
+        stored, waits, told = dict(files), {}, []
+
+        for kind, of, seq, when, uid, partition, line in events:
+            if kind == ENDED:
+                if of <= run:
                     continue
-                flush()
-                run, at = e.run, e.at
-                for (uid,), value in list(self.files.iterator()):
-                    old = File(*value)
-                    new, what = old.settled(run, _ms(at))
-                    self._put(uid, old, new)
-                    for action in what:
-                        yield self._row(uid, old, run, at, action)
+                run, at = of, when
+                for uid, old in files.items():
+                    if old is not None:
+                        files[uid], what = old.settled(run, at // 1000)
+                        told += ((uid, old.place_told(), run, at, action) for action in what)
+                if len(told) >= _FRAME:
+                    yield _frame(told)
+                    told = []
                 continue
-            if e.id not in changed:
-                found = self._get(e.id)
-                changed[e.id] = (found, found)
-            old, now = changed[e.id]
-            now = now or File()
-            if e.kind == LISTED:
-                before, now = now, now.seen(e.run, e.seq, e.partition, e.line)
-                if e.run == run:  # after its end
+            if uid not in files:
+                files[uid] = stored[uid] = None if whole else self._get(uid)
+            now = files[uid] or File()
+            if kind == LISTED:
+                seen_in, now = now.run, now.seen(of, seq, partition, line)
+                if of == run:  # after its end
                     if now.known:
-                        now, what = now.settled(run, _ms(at))
+                        now, what = now.settled(run, at // 1000)
                     else:
-                        what = [] if before.run == run else now.settled(run, _ms(at))[1]
-                    for action in what:
-                        yield self._row(e.id, now, run, at, action)
-            elif e.kind == STORED:
+                        what = [] if seen_in == run else now.settled(run, at // 1000)[1]
+                    told += ((uid, now.place_told(), run, at, action) for action in what)
+            elif kind == STORED:
                 live = now.run == run >= 0
-                now = now._replace(known=True, listed=live, kept=now.line if live else now.kept, home=now.home if now.home is not None else e.partition, attempts=0, failed_at=None)
+                now = now._replace(known=True, listed=live, kept=now.line if live else now.kept, home=now.home if now.home is not None else partition, attempts=0, failed_at=None)
+                waits.pop(uid, None)
             else:
-                now = now._replace(attempts=now.attempts + 1, failed_at=_ms(e.at))
-                if now.attempts >= MAX_ATTEMPTS:
-                    until = now.failed_at + _RETRY_MS
-                    self.waits.updateValue((e.id,), (until,))
-                    self.handle.registerTimer(until)
-            changed[e.id] = (old, now)
-        flush()
-        if at is not None and (last is None or run != last[0]):
-            self.ended.update((run, at))
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
-        expired, last = expiredTimerInfo.getExpiryTimeInMs(), self.ended.get()
-        for (uid,), (until,) in list(self.waits.iterator()):
-            if until > expired:
+                now = now._replace(attempts=now.attempts + 1, failed_at=when // 1000)
+                if now.attempts >= MAX_ATTEMPTS and not now.known:  # stored files are asked for without a wait
+                    waits[uid] = now.failed_at + _RETRY_MS
+            files[uid] = now
+        for uid, new in files.items():
+            self._put(uid, stored[uid], new)
+        for uid, until in waits.items():
+            self.waits.updateValue((uid,), (until,))
+        if waits:
+            self._wake(min(waits.values()))
+        if (run, at) != before:
+            self.ended.update((run, datetime.fromtimestamp(at // 1_000_000).replace(microsecond=at % 1_000_000)))
+        yield _frame(told)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        now, (run, at), told = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentProcessingTimeInMs()), self._last(), []
+        self.due.clear()
+        waits = [(uid, until) for (uid,), (until,) in self.waits.iterator()]
+        for uid, until in waits:
+            if until > now:
                 continue
             self.waits.removeKey((uid,))
             file = self._get(uid)
-            # a later failure has its own timer
-            if last is not None and file is not None and not file.known and file.run == last[0] and file.attempts >= MAX_ATTEMPTS and file.failed_at + _RETRY_MS == until:
-                yield self._row(uid, file, last[0], last[1], "retry")
-
-    @staticmethod
-    def _row(uid: str, file: File, run: int, at, action: str) -> Row:
-        return Row(id=uid, partition=file.home if file.home is not None else file.place, run=run, at=at, action=action)
+            # a later failure has its own wait
+            if at is not None and file is not None and not file.known and file.run == run and file.attempts >= MAX_ATTEMPTS and file.failed_at + _RETRY_MS == until:
+                told.append((uid, file.place_told(), run, at, "retry"))
+        left = [until for _, until in waits if until > now]
+        if left:
+            self._wake(min(left))
+        yield _frame(told)
 
     def close(self) -> None:
         pass
@@ -178,7 +213,9 @@ def actions(events: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     known = events.where(F.col("kind").isin(*_ORDER) & F.col("run").isNotNull() & F.col("at").isNotNull() & ((F.col("kind") == ENDED) | F.col("id").isNotNull()))
     own = F.array(F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int"))
     dealt = known.withColumn("bucket", F.explode(F.when(F.col("kind") == ENDED, F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(own)))
-    return dealt.groupBy("bucket").transformWithState(FileStates(), ACTIONS, "Append", "ProcessingTime")
+    numbered = dealt.select("bucket", "kind", "run", F.coalesce("seq", F.lit(-1)).alias("seq"), F.unix_micros("at").alias("us"), "id", "partition", "line")
+    told = numbered.groupBy("bucket").transformWithStateInPandas(FileStates(), _TOLD, "Append", "ProcessingTime")
+    return told.select("id", "partition", "run", F.timestamp_micros("us").alias("at"), "action")
 
 
 def run(events: DataFrame, out: str, checkpoint: str, buckets: int = BUCKETS, every: str | None = None) -> StreamingQuery:

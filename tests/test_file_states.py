@@ -1,8 +1,12 @@
 """The stream of listings against the batch plan, with a restart in the middle, late links and waits after failures."""
 
 import random
+from collections import Counter
 from datetime import datetime, timedelta
 
+import pandas as pd
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValues
+
 from parchment.plans.sync import Options, sync_plan
 from parchment.streaming import file_states
 from parchment.streaming.file_states import ENDED, EVENTS, FAILED, LISTED, STORED, File
@@ -115,3 +119,77 @@ def test_links_come_in_any_order():
     assert File().seen(1, 5, "b", "late").seen(1, 2, "c", "first").seen(0, 1, "a", "old") == File(1, 2, "b", "first")
     assert File(1, attempts=3, failed_at=0).settled(1, 1)[1] == ["skip"] and File(1, attempts=3, failed_at=0).settled(1, 86_400_000)[1] == ["fetch"]
     assert File(1).settled(2, 0) == (None, [])
+
+
+class Store:
+    """A processor's handle that counts what is asked of it."""
+
+    def __init__(self):
+        self.calls, self.timers, self.maps = Counter(), set(), {}
+
+    def getMapState(self, name, *_):  # noqa: N802 - Spark's names
+        return self.maps.setdefault(name, Values(self, name))
+
+    getValueState = getMapState  # noqa: N815
+
+    def registerTimer(self, at):  # noqa: N802
+        self.calls["timer"] += 1
+        self.timers.add(at)
+
+    def deleteTimer(self, at):  # noqa: N802
+        self.timers.discard(at)
+
+
+class Values(dict):
+    def __init__(self, store, name):
+        self.store, self.name = store, name
+
+    def iterator(self):
+        self.store.calls[f"{self.name} read whole"] += 1
+        return iter(list(self.items()))
+
+    def getValue(self, key):  # noqa: N802
+        self.store.calls[f"{self.name} read"] += 1
+        return dict.get(self, key)
+
+    def updateValue(self, key, value):  # noqa: N802
+        self.store.calls[f"{self.name} written"] += 1
+        self[key] = value
+
+    def removeKey(self, key):  # noqa: N802
+        self.pop(key, None)
+
+    def get(self):
+        return dict.get(self, None)
+
+    def update(self, value):
+        self[None] = value
+
+    def clear(self):
+        self.pop(None, None)
+
+
+def test_a_batch_of_many_runs_reads_and_writes_a_file_once(monkeypatch):
+    monkeypatch.setattr(file_states, "_FRAME", 30)
+    store, runs, files = Store(), 12, 20
+    states = file_states.FileStates()
+    states.init(store)
+    us = lambda r: round(time_of(r).timestamp() * 1_000_000)
+    rows = [(LISTED, r, n, us(r), f"f{n}", "p", f"{r % 2}") for r in range(runs) for n in range(files)]
+    rows += [(ENDED, r, -1, us(r), None, None, None) for r in range(runs)]
+    rows += [(STORED, 0, n, us(0), f"f{n}", "p", None) for n in range(10)]
+    rows += [(FAILED, 3, n * 3 + k, us(3) + n * 1000, f"f{n}", "p", None) for n in range(files) for k in range(3)]
+    frame = lambda some: iter([pd.DataFrame(some, columns=file_states._COLUMNS)])
+    told = pd.concat(states.handleInputRows((0,), frame(rows[::-1]), None))
+    assert store.calls == {"files read whole": 1, "files written": files, "waits written": 10, "timer": 1}  # stored files wait for nothing
+    assert Counter(told["action"]) == {"fetch": files + 10 * (runs - 2), "skip": 10, "update": 10 * (runs - 1)} and len(store.timers) == 1
+    store.calls.clear()
+    again = pd.concat(states.handleInputRows((0,), frame([(LISTED, runs - 1, 99, us(runs - 1), "f1", "p", "1")]), None))
+    assert not len(again) and store.calls == {"files read": 1}  # without an end only what is named is read
+    store.calls.clear()
+    (until,) = store.timers
+    retries = lambda now: pd.concat(states.handleExpiredTimer((0,), TimerValues(now), ExpiredTimerInfo(until)))["action"].tolist()
+    middle = sorted(v[0] for v in store.maps["waits"].values())[4]
+    want = sum(v[0] <= middle for v in store.maps["waits"].values())
+    assert retries(middle) == ["retry"] * want and store.calls["waits read whole"] == 1 and max(store.timers) >= middle
+    assert retries(until + 10_000) == ["retry"] * (10 - want) and not store.maps["waits"]
