@@ -53,10 +53,24 @@ def _clean() -> None:
 WIDE = {"parquet.page.size.row.check.min": "1", "parquet.block.size.row.check.min": "1", "parquet.enable.dictionary": "false"}
 
 
-def cut(df: DataFrame, name: str, options: dict[str, str] | None = None) -> DataFrame:
-    """df written to the shared folder and read again: lineage ends there, lost executors cost nothing before it."""
-    path = scratch(df.sparkSession, name)
-    df.write.options(**(options or {})).parquet(path)
+#: Spark deletes a query's shuffle files when the query ends, not when its driver happens to collect garbage.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def cut(df: DataFrame, name: str, options: dict[str, str] | None = None, free: bool = False) -> DataFrame:
+    """df written to the shared folder and read again: lineage ends there, lost executors cost nothing before it.
+
+    With free the shuffle files that making df took are deleted at once.
+    """
+    path, conf = scratch(df.sparkSession, name), df.sparkSession.conf
+    before = conf.get(FREE_SHUFFLES, None)
+    if free:
+        conf.set(FREE_SHUFFLES, "true")
+    try:
+        df.write.options(**(options or {})).parquet(path)
+    finally:
+        if free:
+            conf.unset(FREE_SHUFFLES) if before is None else conf.set(FREE_SHUFFLES, before)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._scratch_path = path
     return out

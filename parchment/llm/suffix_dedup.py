@@ -431,7 +431,7 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", bucke
     by_kind = lambda df: df.withColumn("part", F.col("kind") * buckets + F.col("bucket")).repartitionById(2 * buckets, "part").groupBy("part")
     passed = lambda t: pa.concat_tables([_sorted_rows(FOUND, b) for b in t.select(["bucket", "blob"]).to_batches()])
     raw = rows.mapInArrow(_find_anchors(cuts, buckets, codes), _STEP)
-    step = cut(by_kind(raw).applyInArrow(_by_kind(_sort_bucket(buckets), passed), _SORTED), "anchors")
+    step = cut(by_kind(raw).applyInArrow(_by_kind(_sort_bucket(buckets), passed), _SORTED), "anchors", free=True)
     # neighbours' ends meet at their border; one row a bucket and side
     ends = step.where(F.col("kind") == END).select("border", "bucket", "lead")
     shared = ends.groupBy("border").agg(F.min("lead").alias("a"), F.max("lead").alias("b"), F.count_distinct("bucket").alias("n")).where("n = 2 and a = b").select("border")
